@@ -39,7 +39,10 @@ def global_rank(
     the numbers must come from the same partitions.
     """
     if bucket is not None:
-        rows = df.withColumn("__part", bucket)
+        # The join below would lose rows without a bucket or group, so they are an error.
+        missing = F.raise_error(F.lit("a row to be ranked has no bucket or group"))
+        rows = df.withColumn("__part", F.coalesce(bucket, missing))
+        rows = rows.withColumns({c: F.coalesce(c, missing) for c in by})
         starts = _starts(rows.groupBy(*by, "__part").count(), by, "__part")
         inside = F.row_number().over(Window.partitionBy(*by, "__part").orderBy(*order))
         # The window has put the rows where this join wants them: only `starts` moves.

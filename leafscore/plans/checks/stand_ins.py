@@ -139,8 +139,8 @@ TOK_LAYERS_SQL = (
     TOK_SQL
     + """,
 tok_layers AS (
-  SELECT doc, pos % 4 AS layer, pos // 4 AS pos, mask, vec FROM tok
-  QUALIFY count(*) OVER (PARTITION BY doc, pos // 4) = 4)"""
+  SELECT doc, pos % 4 AS layer, pos // 4 AS pos, CASE WHEN (pos // 4) % 5 = 4 THEN 0 ELSE 1 END AS mask, vec
+  FROM tok QUALIFY count(*) OVER (PARTITION BY doc, pos // 4) = 4)"""
 )
 
 
@@ -162,7 +162,7 @@ def tok_layers(spark, sf) -> DataFrame:
         "doc",
         (F.col("pos") % 4).cast("int").alias("layer"),
         F.floor(F.col("pos") / 4).alias("pos"),
-        "mask",
+        F.when(F.floor(F.col("pos") / 4) % 5 == 4, 0).otherwise(1).alias("mask"),
         "vec",
     )
     whole = rows.groupBy("doc", "pos").count().filter("count = 4").drop("count")

@@ -61,51 +61,34 @@ def concat_four_layers(spark, sf):
     return _cells(_last_layers(spark, sf, 4), "doc", "pos", digits=8)
 
 
-def _masked_layers(spark, sf):
-    """Last layers with the mask of the position's first layer."""
-    mask = tok_layers(spark, sf).filter("layer = 0").select("doc", "pos", "mask")
-    return _last_layers(spark, sf).join(mask, ["doc", "pos"])
-
-
-def normed_mean(rows, width):
-    pooled = pooling.pool_masked_mean(rows, width)
-    return pooled.select("doc", layer_norm(width)("vec").alias("vec"))
-
-
 def _scored(pooled, width):
     return pooled.select("doc", F.round(linear_score(head(width))("vec"), 6).alias("score"))
 
 
 def head_mean(spark, sf):
     """Masked mean, layer norm, linear."""
-    return _scored(normed_mean(tok(spark, sf), WIDTH), WIDTH)
+    return _scored(pooling.concat_pools(tok(spark, sf), WIDTH, ["mean"]), WIDTH)
 
 
 def head_attention_cls(spark, sf):
     """Last layers; [attention, first token], linear."""
     rows = _last_layers(spark, sf)
-    both = pooling.concat_pools(pooling.pool_attention(rows, **attention_head(WIDE)), pooling.pool_cls(rows))
-    return _scored(both, 2 * WIDE)
+    return _scored(pooling.concat_pools(rows, WIDE, ["attention", "cls"], attention_head(WIDE)), 2 * WIDE)
 
 
 def head_cls_mean(spark, sf):
     """Last layers; [first token, normed mean], linear."""
-    rows = _masked_layers(spark, sf)
-    return _scored(pooling.concat_pools(pooling.pool_cls(rows), normed_mean(rows, WIDE)), 2 * WIDE)
+    return _scored(pooling.concat_pools(_last_layers(spark, sf), WIDE, ["cls", "mean"]), 2 * WIDE)
 
 
 def head_cls_mean_attention(spark, sf):
     """Last layers; [first token, normed mean, attention], linear."""
-    rows = _masked_layers(spark, sf)
-    three = pooling.concat_pools(
-        pooling.pool_cls(rows), normed_mean(rows, WIDE), pooling.pool_attention(rows, **attention_head(WIDE))
-    )
-    return _scored(three, 3 * WIDE)
+    order = ["cls", "mean", "attention"]
+    return _scored(pooling.concat_pools(_last_layers(spark, sf), WIDE, order, attention_head(WIDE)), 3 * WIDE)
 
 
 def concat_pools(spark, sf):
-    rows = _masked_layers(spark, sf)
-    return _cells(pooling.concat_pools(pooling.pool_cls(rows), normed_mean(rows, WIDE)), "doc", digits=5)
+    return _cells(pooling.concat_pools(_last_layers(spark, sf), WIDE, ["cls", "mean"]), "doc", digits=5)
 
 
 def normed(spark, sf):
