@@ -23,9 +23,8 @@ MAX_SENT_TOKENS = 262_144
 
 def build_vocab(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
     """Rows (token, n, token_id), ids from 4 in order of falling count, then token; the first `size`."""
-    counts = df.select(F.explode(tokens(F.col(text))).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    pieces = df.select(F.explode(F.split(text, r"\s+")).alias("token")).filter(F.col("token") != "")
+    counts = pieces.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     ranked = global_rank(counts, [F.desc("n"), "token"], name="token_id")
     if size is not None:
         ranked = ranked.filter(F.col("token_id") < size)
@@ -101,25 +100,25 @@ def mlm_mask(df: DataFrame, key: str, ids: str, mask_id: int, vocab_size: int, s
     Of those, 8 in 10 become `mask_id`, 1 in 10 a random id below `vocab_size`, 1 in 10 stay. The
     draws hash seed, key and position, so they repeat on every run and retry.
     """
-    chosen = int(p * 2**32)
-    masked, random = int(0.8 * 2**32), int(0.9 * 2**32)
+
+    def below(digest: Column, start: int, share: float) -> Column:
+        """Are the eight hex digits from `start` below that share of all values? Compared as text."""
+        return F.substring(digest, start, 8) < F.lit(f"{int(share * 2**32):08x}")
 
     def drawn(token: Column, pos: Column) -> Column:
         digest = seeded_hash(seed, F.col(key), pos)
-        return F.struct(
-            token.alias("id"),
-            ((token >= FIRST_ID) & (token != mask_id) & (hash_number(digest, 1) < chosen)).alias("hit"),
-            hash_number(digest, 9).alias("kind"),
-            (hash_number(digest, 17) % vocab_size).cast("int").alias("other"),
-        )
+        plain = (token >= FIRST_ID) & (token != mask_id)
+        return F.struct(token.alias("id"), F.when(plain & below(digest, 1, p), digest).alias("digest"))
 
     def replaced(t: Column) -> Column:
-        swapped = F.when(t["kind"] < masked, F.lit(mask_id)).when(t["kind"] < random, t["other"])
-        return F.when(t["hit"], swapped.otherwise(t["id"])).otherwise(t["id"])
+        digest, token = t["digest"], t["id"]
+        other = (hash_number(digest, 17) % vocab_size).cast("int")
+        swapped = F.when(below(digest, 9, 0.8), F.lit(mask_id)).when(below(digest, 9, 0.9), other)
+        return F.when(digest.isNotNull(), swapped.otherwise(token)).otherwise(token)
+
+    def label(t: Column) -> Column:
+        return F.when(t["digest"].isNotNull(), t["id"]).otherwise(IGNORED)
 
     rows = df.withColumn("__draws", F.transform(ids, drawn))
-    return (
-        rows.withColumn("masked_ids", F.transform("__draws", replaced))
-        .withColumn("labels", F.transform("__draws", lambda t: F.when(t["hit"], t["id"]).otherwise(IGNORED)))
-        .drop("__draws")
-    )
+    rows = rows.withColumn("masked_ids", F.transform("__draws", replaced))
+    return rows.withColumn("labels", F.transform("__draws", label)).drop("__draws")

@@ -7,49 +7,45 @@ look into the few prefixes that hold a cut; after that the fold is an ordinary c
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafscore.functions.text import seeded_hash
 
 
-def _hashes_at(
-    hashed: DataFrame, counts: dict[tuple, list[tuple[str, int]]], ranks: dict[object, set[int]], digits: int
-) -> dict[tuple, str]:
+def _prefix_counts(hashed: DataFrame, digits: int) -> pd.DataFrame:
+    """Rows per stratum and hash prefix: at most strata * 16**digits numbers, whatever the table's size."""
+    prefix = F.substring("hash", 1, digits).alias("prefix")
+    counts = hashed.groupBy("stratum", prefix).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    return counts.sort_values(["stratum", "prefix"], ignore_index=True)
+
+
+def _hashes_at(hashed: DataFrame, counts: pd.DataFrame, ranks: dict[int, list[int]], digits: int) -> dict[tuple, str]:
     """(stratum, rank) -> the hash at that 0-based place in the stratum's hash order."""
     wanted = []
-    for stratum, prefixes in counts.items():
-        places, passed = sorted(ranks[stratum]), 0
-        for prefix, n in sorted(prefixes):
-            wanted += [(stratum, prefix, r - passed + 1, r) for r in places if passed <= r < passed + n]
-            passed += n
+    for stratum, part in counts.groupby("stratum"):
+        ends = part["n"].cumsum().to_numpy()
+        for rank in sorted({r for r in ranks[stratum] if r < ends[-1]}):
+            i = int(np.searchsorted(ends, rank, side="right"))
+            place = rank - int(ends[i] - part["n"].iloc[i]) + 1
+            wanted.append((int(stratum), part["prefix"].iloc[i], place, rank))
     if not wanted:
         return {}
-    spark = hashed.sparkSession
     # At most K - 1 rows per stratum.
-    cuts = spark.createDataFrame(wanted, "stratum int, prefix string, place int, rank bigint")
+    cuts = hashed.sparkSession.createDataFrame(wanted, "stratum int, prefix string, place int, rank bigint")
     prefix = F.substring("hash", 1, digits)
     near = hashed.withColumn("prefix", prefix).join(
-        F.broadcast(cuts.select("stratum", "prefix").distinct()), ["stratum", "prefix"]
+        F.broadcast(cuts.select("stratum", "prefix").distinct()), ["stratum", "prefix"], "left_semi"
     )
     place = F.row_number().over(Window.partitionBy("stratum", "prefix").orderBy("hash"))
     found = near.withColumn("place", place).join(F.broadcast(cuts), ["stratum", "prefix", "place"])
     return {(r.stratum, r.rank): r.hash for r in found.select("stratum", "rank", "hash").collect()}
 
 
-def _prefix_counts(hashed: DataFrame, digits: int) -> dict[int, list[tuple[str, int]]]:
-    """Rows per stratum and hash prefix: at most strata * 16**digits numbers, whatever the table's size."""
-    counted = hashed.groupBy("stratum", F.substring("hash", 1, digits).alias("prefix")).count()
-    counts = defaultdict(list)
-    for r in counted.toLocalIterator():
-        counts[r.stratum].append((r.prefix, r["count"]))
-    return counts
-
-
 def _runs_passed(digest: Column, starts: Iterable[str]) -> Column:
     passed = [(digest >= F.lit(h)).cast("int") for h in starts]
     return sum(passed, F.lit(0))
@@ -63,11 +59,11 @@ def kfold(df: DataFrame, key: str, k: int, seed, name: str = "fold") -> DataFram
     digest = seeded_hash(seed, key)
     hashed = df.select(digest.alias("hash"), F.lit(0).alias("stratum"))
     counts = _prefix_counts(hashed, 4)
-    n = sum(c for _, c in counts[0])
+    n = int(counts["n"].sum())
     if n < k:
         raise ValueError(f"cannot make {k} folds of {n} rows")
     first = [j * (n // k) + min(j, n % k) for j in range(1, k)]
-    cuts = _hashes_at(hashed, counts, {0: set(first)}, 4)
+    cuts = _hashes_at(hashed, counts, {0: first}, 4)
     return df.withColumn(name, _runs_passed(digest, [cuts[0, r] for r in first]))
 
 
@@ -95,14 +91,14 @@ def kfold_stratified(df: DataFrame, key: str, y: str, k: int, seed, name: str =
     hashed = binned.select(digest.alias("hash"), F.coalesce("__bin", F.lit(-1)).alias("stratum"))
     counts = _prefix_counts(hashed, 3)
     before, first = 0, {}
-    for stratum in sorted(counts):
-        n = sum(c for _, c in counts[stratum])
+    for stratum, n in counts.groupby("stratum")["n"].sum().items():
+        n = int(n)
         dealt = [(before + n - j + k - 1) // k - (before - j + k - 1) // k for j in range(k)]
-        first[stratum] = [int(r) for r in np.cumsum(dealt)[:-1]]
+        first[int(stratum)] = [int(r) for r in np.cumsum(dealt)[:-1]]
         before += n
     if before < k:
         raise ValueError(f"cannot make {k} folds of {before} rows")
-    cuts = _hashes_at(hashed, counts, {s: set(r) for s, r in first.items()}, 3)
+    cuts = _hashes_at(hashed, counts, first, 3)
     stratum = F.coalesce("__bin", F.lit(-1))
     fold = F.lit(None).cast("int")
     for s, ranks in first.items():

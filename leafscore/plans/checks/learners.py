@@ -14,7 +14,6 @@ from leafscore.plans.checks.stand_ins import (
     WIDTH,
     docreg,
     fold_sql,
-    line_sums,
     oof_fit,
     order_truth,
     table,
@@ -26,7 +25,8 @@ FEATURES = ["x1", "x2", "x3"]
 
 
 def _folded(spark, sf):
-    return folds.kfold(docreg(spark, sf), "id", 5, 1000)
+    """Features kept as a table: fits read them once, scores once more."""
+    return folds.kfold(materialise(docreg(spark, sf), "docreg"), "id", 5, 1000)
 
 
 def _shown(df):
@@ -72,12 +72,11 @@ def svd_project(spark, sf):
 
 
 def trees_oof(spark, sf):
-    rows = materialise(_folded(spark, sf), "docreg")
-    return _shown(trees.trees_oof(rows, FEATURES, "y", 5))
+    return _shown(trees.trees_oof(_folded(spark, sf), FEATURES, "y", 5))
 
 
 def _labelled_parts(spark, sf):
-    docs = docreg(spark, sf)
+    docs = materialise(docreg(spark, sf), "docreg")
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
     return docs.join(labels, "id", "left_semi"), docs.join(labels, "id", "left_anti")
 
@@ -110,9 +109,12 @@ def _order_vectors(spark, sf):
 def stack_run(spark, sf, folds_used: int = 5, learners=stacking.LEARNERS):
     """The whole stack on orders: pending ones are unseen, the others labelled."""
     pending = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))
-    known = oof_fit(spark, sf).select("id", "y").join(pending, "id", "left_anti")
-    preds, vecs = unpivot(line_sums(spark, sf), MODELS), _order_vectors(spark, sf)
-    with_lines = pending.join(vecs, "id", "left_semi")
+    # Saved prediction and feature vectors, as the models' own runs would leave them.
+    truth = materialise(oof_fit(spark, sf), "oof")
+    preds = materialise(unpivot(truth, MODELS), "preds")
+    vecs = materialise(_order_vectors(spark, sf), "vecs")
+    known = truth.select("id", "y").join(pending, "id", "left_anti")
+    with_lines = truth.select("id").join(pending, "id", "left_semi")
     return stacking.run_stack(
         truth=known,
         train_preds=preds.join(pending, "id", "left_anti"),

@@ -21,6 +21,7 @@ from leafscore.plans.checks.stand_ins import (
     table,
     unpivot,
 )
+from leafscore.session import materialise
 
 # The weights of three model families in their blend.
 FAMILY_WEIGHTS = {"A": 0.3, "N": 0.5, "R": 0.2}
@@ -61,7 +62,7 @@ def rmse_by_batch(spark, sf):
 
 
 def cv_summary(spark, sf):
-    folded = folds.kfold(oof_fit(spark, sf), "id", 5, 1000)
+    folded = folds.kfold(materialise(oof_fit(spark, sf), "oof"), "id", 5, 1000)
     return metrics.cv_summary(folded, "y", "m2").select(
         "fold", F.round("rmse", 6).alias("rmse"), F.round("mean_rmse", 6).alias("mean_rmse")
     )

@@ -20,6 +20,8 @@ from leafscore.plans.checks.stand_ins import (
     table,
     unpivot,
 )
+from leafscore.session import materialise
+from leafscore.sources.tables import spread
 
 
 def global_rank(spark, sf):
@@ -72,9 +74,9 @@ def shuffled_batches(spark, sf):
 
 
 def _lengths(spark, sf):
-    return table(spark, sf, "documents").select(
-        F.col("doc_id").alias("id"), F.size(tokens(F.col("text"))).cast("bigint").alias("n")
-    )
+    """Token counts, kept: a sort looks at its input twice."""
+    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
+    return materialise(docs.select("id", F.size(tokens(F.col("text"))).cast("bigint").alias("n")), "lengths")
 
 
 def length_batches(spark, sf):
@@ -89,13 +91,10 @@ def restore_order(spark, sf):
 
 def pad_to_batch(spark, sf):
     """Token lengths stand for token ids, padded within batches of like length."""
-    words = table(spark, sf, "documents").select(
-        F.col("doc_id").alias("id"), tokens(F.col("text")).alias("words")
-    )
-    rows = words.select(
-        "id", F.size("words").alias("n"), F.transform("words", lambda w: F.length(w)).alias("ids")
-    )
-    padded = batches.pad_to_batch(batches.length_batches(rows, "n", "id", 32, 1000), "ids", "batch", 248, 1)
+    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
+    ids = docs.select("id", F.transform(tokens(F.col("text")), lambda w: F.length(w)).alias("ids"))
+    rows = batches.length_batches(_lengths(spark, sf), "n", "id", 32, 1000).join(ids, "id")
+    padded = batches.pad_to_batch(rows, "ids", "batch", 248, 1)
     return padded.select(
         "id",
         F.size("ids").cast("bigint").alias("width"),

@@ -15,7 +15,7 @@ BLOCK = 256
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return tables.spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def _vocab(spark, sf):
@@ -113,7 +113,7 @@ seq AS (
 
 
 _MASK_ID = VOCAB_SIZE + 4
-_CHOSEN, _MASKED, _RANDOM = int(0.15 * 2**32), int(0.8 * 2**32), int(0.9 * 2**32)
+_CHOSEN, _MASKED, _RANDOM = (int(share * 2**32) for share in (0.15, 0.8, 0.9))
 
 
 def _hash_sql(start: int) -> str:

@@ -32,6 +32,16 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.options(**_CSV).csv(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it comes in fewer pieces than there are cores.
+
+    A small file of long texts is one piece, and all work on it would be one task. Large tables come
+    in many pieces and are left alone. Only for a table as read: a plan with shuffles would run here.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_vector_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV without a header and with one column of numbers."""
     return spark.read.schema("v double").option("header", False).csv(path)
