@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafscore.functions.text import first_tokens, hash_number, seeded_hash, strip_newlines, tokens
 from leafscore.operators.rank import global_rank
+from leafscore.sources.tables import read_lines
 
 # Reserved token ids, sequence lengths, and the label of a token that is not predicted.
 BOS, PAD, EOS, UNK = 0, 1, 2, 3
@@ -31,14 +32,17 @@ def build_vocab(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
     return ranked.withColumn("token_id", F.col("token_id") + FIRST_ID)
 
 
-def lookup(vocab_tokens: list[str], ids: list[int]):
+def lookup(vocab: pa.Table):
     """array of tokens -> array of ids, by one hash lookup per Arrow batch."""
+    known, ids = vocab["token"].combine_chunks(), vocab["token_id"].combine_chunks().cast(pa.int32())
 
     @F.arrow_udf("array<int>")
     def to_ids(lists: pa.Array) -> pa.Array:
-        place = pc.index_in(lists.values, value_set=pa.array(vocab_tokens, lists.type.value_type))
-        found = pc.fill_null(pc.take(pa.array(ids, pa.int32()), place), UNK)
-        return pa.ListArray.from_arrays(lists.offsets, found, mask=lists.is_null())
+        words = lists.flatten().cast(known.type)
+        found = pc.fill_null(pc.take(ids, pc.index_in(words, value_set=known)), UNK)
+        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0))
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
+        return pa.ListArray.from_arrays(offsets, found, mask=lists.is_null())
 
     return to_ids
 
@@ -47,13 +51,12 @@ def token_ids(df: DataFrame, key: str, words: Column, vocab: DataFrame) -> DataF
     """Rows (key, ids): the tokens' ids in text order, `UNK` for a token outside the vocabulary.
 
     With a vocabulary of checked size the rows stay where they are. A larger vocabulary is joined
-    to the single tokens, and the tokens of a row are put together again.
+    to the single tokens, and the tokens of a row are put together again by its key.
     """
     rows = df.select(key, words.alias("__words"))
-    known = vocab.select("token", "token_id").limit(MAX_SENT_TOKENS + 1).collect()
-    if len(known) <= MAX_SENT_TOKENS:
-        to_ids = lookup([r.token for r in known], [r.token_id for r in known])
-        return rows.select(key, to_ids("__words").alias("ids"))
+    known = vocab.select("token", "token_id").limit(MAX_SENT_TOKENS + 1).toArrow()
+    if known.num_rows <= MAX_SENT_TOKENS:
+        return rows.select(key, lookup(known)("__words").alias("ids"))
     single = rows.select(key, F.posexplode_outer("__words").alias("__pos", "token"))
     found = single.join(vocab.select("token", F.col("token_id").cast("int")), "token", "left")
     pair = F.when(F.col("__pos").isNotNull(), F.struct("__pos", F.coalesce("token_id", F.lit(UNK)).alias("id")))
@@ -94,6 +97,11 @@ def encode(
     return rows.select(key, *columns)
 
 
+def read_blocks(spark: SparkSession, path: str, vocab: DataFrame, block: int = 256) -> DataFrame:
+    """Rows (line_id, input_ids, attention_mask): a corpus file's lines, cut to `block` and not padded."""
+    return encode(read_lines(spark, path), "line_id", "line", vocab, block, pad_out=False)
+
+
 def mlm_mask(df: DataFrame, key: str, ids: str, mask_id: int, vocab_size: int, seed, p: float = 0.15) -> DataFrame:
     """Add `masked_ids` and `labels`: a share p of the non-special tokens is to be predicted.
 

@@ -20,8 +20,8 @@ from leafscore.functions.text import seeded_hash
 def _prefix_counts(hashed: DataFrame, digits: int) -> pd.DataFrame:
     """Rows per stratum and hash prefix: at most strata * 16**digits numbers, whatever the table's size."""
     prefix = F.substring("hash", 1, digits).alias("prefix")
-    counts = hashed.groupBy("stratum", prefix).agg(F.count(F.lit(1)).alias("n")).toPandas()
-    return counts.sort_values(["stratum", "prefix"], ignore_index=True)
+    counts = hashed.groupBy("stratum", prefix).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    return counts.to_pandas().sort_values(["stratum", "prefix"], ignore_index=True)
 
 
 def _hashes_at(hashed: DataFrame, counts: pd.DataFrame, ranks: dict[int, list[int]], digits: int) -> dict[tuple, str]:

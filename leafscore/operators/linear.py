@@ -100,7 +100,8 @@ def ard_fit(
     return fit
 
 
-def _models(family: str, m: Moments, fit: Fit) -> Models:
+def models_from(m: Moments, fit: Fit, family: str) -> Models:
+    """One model per fold from the moments of (x_1, .., x_d, y), each fitted on the other folds."""
     if len(m.keys) < 2:
         raise ValueError("out-of-fold models need at least two folds")
     names, coef, bias = [], [], []
@@ -115,7 +116,7 @@ def _models(family: str, m: Moments, fit: Fit) -> Models:
 
 def fit_folds(df: DataFrame, xs: Sequence[str], y: str, fit: Fit, fold: str = "fold", family: str = "ridge") -> Models:
     """One model per fold, fitted on the rows outside it."""
-    return _models(family, fold_moments(df.dropna(subset=[y, *xs]), [*xs, y], fold), fit)
+    return models_from(fold_moments(df.dropna(subset=[y, *xs]), [*xs, y], fold), fit, family)
 
 
 def fit_vector_folds(df: DataFrame, vec: str, width: int, y: str, fit: Fit, fold: str = "fold", family: str = "ridge"):
@@ -125,7 +126,7 @@ def fit_vector_folds(df: DataFrame, vec: str, width: int, y: str, fit: Fit, fold
     joined = joined.filter(F.col("__v").isNotNull() & F.col("__v")[width].isNotNull())
     middle = vector_mean(joined, [], "__v", width + 1).first()
     shift = middle["vec"] if middle else None
-    return _models(family, vector_moments(joined, "__v", width + 1, fold, shift), fit)
+    return models_from(vector_moments(joined, "__v", width + 1, fold, shift), fit, family)
 
 
 def score_oof(df: DataFrame, xs: Sequence[str], models: Models, fold: str = "fold", name: str = "pred") -> DataFrame:
@@ -189,7 +190,7 @@ def search_ard(m: Moments, draws: DataFrame) -> DataFrame:
     """
 
     def error(priors: ArdPriors) -> float:
-        models = _models("ard", m, ard_fit(priors))
+        models = models_from(m, ard_fit(priors), "ard")
         total = 0.0
         for i in range(len(m.keys)):
             # The residual y - w.x - b is one more linear form of the fold's own rows.

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from leafscore.functions.vectors import as_matrix
 
-# Up to this many columns the moments are built-in aggregates; wider rows go through a matrix product.
-BUILTIN_COLUMNS = 8
+# Up to this many columns the moments are built-in aggregates: the sums still fit into generated code,
+# which ends at 100 fields. Wider rows go through a matrix product.
+BUILTIN_COLUMNS = 12
 
 
 @dataclass(frozen=True)
@@ -40,27 +41,34 @@ class Moments:
         return self.merged([j for j in range(len(self.keys)) if j != i])
 
 
+def column_means(df: DataFrame, cols: Sequence[str]) -> list[float]:
+    """Means over all rows, to shift the columns by: products of shifted columns keep their digits."""
+    return [m or 0.0 for m in df.agg(*[F.avg(c) for c in cols]).first()]
+
+
 def moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
-    """Rows (fold, i, j, n, mean_i, mean_j, cov) for all pairs i <= j, in one aggregation."""
+    """Rows (fold, i, j, n, mean_i, mean_j, cov) for all pairs i <= j, in one aggregation of plain sums."""
     keys = [by] if by else []
-    d = len(cols)
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    wide = df.groupBy(*keys).agg(
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    shift = column_means(df, cols)
+    off = [F.col(c) - F.lit(m) for c, m in zip(cols, shift)]
+    sums = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs],
+        *[F.sum(x).alias(f"s{i}") for i, x in enumerate(off)],
+        *[F.sum(off[i] * off[j]).alias(f"p{i}_{j}") for i, j in pairs],
     )
+    mean = [F.col(f"s{i}") / F.col("n") for i in range(len(cols))]
     cells = [
         F.struct(
             F.lit(i).alias("i"),
             F.lit(j).alias("j"),
-            F.col(f"m{i}").alias("mean_i"),
-            F.col(f"m{j}").alias("mean_j"),
-            F.col(f"c{i}_{j}").alias("cov"),
+            (mean[i] + shift[i]).alias("mean_i"),
+            (mean[j] + shift[j]).alias("mean_j"),
+            (F.col(f"p{i}_{j}") / F.col("n") - mean[i] * mean[j]).alias("cov"),
         )
         for i, j in pairs
     ]
-    return wide.select(*keys, "n", F.inline(F.array(*cells)))
+    return sums.select(*keys, "n", F.inline(F.array(*cells)))
 
 
 def gram(df: DataFrame, vec: str, width: int, by: str | None = None, shift=None) -> DataFrame:
@@ -79,8 +87,9 @@ def gram(df: DataFrame, vec: str, width: int, by: str | None = None, shift=None)
             matrix = as_matrix(vectors, width) - shift
             z = np.hstack([np.ones((len(matrix), 1)), matrix])
             folds = batch.column("fold").filter(vectors.is_valid()).to_numpy(zero_copy_only=False)
-            for fold in np.unique(folds):
-                part = z[folds == fold]
+            order = np.argsort(folds, kind="stable")
+            z, (found, starts) = z[order], np.unique(folds[order], return_index=True)
+            for fold, part in zip(found, np.split(z, starts[1:])):
                 total[fold] = total.get(fold, 0.0) + part.T @ part
         for fold, block in total.items():
             offsets = pa.array(np.arange(width + 2, dtype=np.int32) * (width + 1), pa.int32())
@@ -116,11 +125,9 @@ def fold_moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> M
     """Moments of scalar columns per fold, held on the driver: K * d * d numbers."""
     d = len(cols)
     if d > BUILTIN_COLUMNS:
-        middle = df.agg(*[F.avg(c) for c in cols]).first()
-        vectors = df.select(
-            *([by] if by else []), F.array(*[F.col(c).cast("double") for c in cols]).alias("__v")
-        )
-        return vector_moments(vectors, "__v", d, by, [m or 0.0 for m in middle])
+        vector = F.array(*[F.col(c).cast("double") for c in cols]).alias("__v")
+        vectors = df.select(*([by] if by else []), vector)
+        return vector_moments(vectors, "__v", d, by, column_means(df, cols))
     found: dict = {}
     for r in moments(df, cols, by).collect():
         n, mean, cov = found.setdefault(r[by] if by else None, [r.n, np.zeros(d), np.zeros((d, d))])

@@ -49,10 +49,10 @@ def vector_means(
     parts = rows.groupBy(*by, "__block").agg(*[F.sum(f"__w{i}").alias(f"__t{i}") for i in weighting], *sums)
 
     def mean(i: int) -> Column:
-        total = F.col(f"__t{i}")
+        total = F.nullif(F.col(f"__t{i}"), F.lit(0.0))
         if names[i] in floors:
-            total = F.greatest(total, F.lit(floors[names[i]]))
-        return F.when(F.col(f"__t{i}").isNotNull(), F.array(*[F.col(f"__s{i}_{d}") / total for d in dims]))
+            total = F.greatest(F.col(f"__t{i}"), F.lit(floors[names[i]]))
+        return F.when(total.isNotNull(), F.array(*[F.col(f"__s{i}_{d}") / total for d in dims]))
 
     blocks = parts.select(*by, F.struct("__block", *[mean(i).alias(f"v{i}") for i in weighting]).alias("__b"))
     whole = blocks.groupBy(*by).agg(F.array_sort(F.collect_list("__b")).alias("__b"))

@@ -71,6 +71,13 @@ def svd_project(spark, sf):
     return coords.select("id", *[F.round(f"svd_{i}", 6).alias(f"svd_{i}") for i in range(len(basis))])
 
 
+def svd_leading(spark, sf):
+    """The first coordinate of the orders' short vectors."""
+    vecs = materialise(_order_vectors(spark, sf), "vecs")
+    basis = svd.svd_fit(vecs, "v", 4, 1)
+    return svd.svd_project(vecs, "v", basis).select("id", F.round("svd_0", 6).alias("svd_0"))
+
+
 def trees_oof(spark, sf):
     return _shown(trees.trees_oof(_folded(spark, sf), FEATURES, "y", 5))
 
@@ -149,6 +156,7 @@ QUERIES = {
     "ard_oof_three": ard_oof_three,
     "search_ard": search_ard,
     "svd_project": svd_project,
+    "svd_leading": svd_leading,
     "trees_oof": trees_oof,
     "stack": stack,
     "pseudo_label": pseudo_label,
@@ -228,6 +236,23 @@ errors AS (
   SELECT draw, fold, sqrt(avg((y - w * x1 - b) ** 2)) AS rmse
   FROM folded JOIN (SELECT draw, fold, w, b FROM ard) USING (fold) GROUP BY draw, fold)
 SELECT draw, round(avg(rmse), 6) AS rmse FROM errors GROUP BY draw""",
+    "svd_leading": """
+WITH RECURSIVE vecs AS (
+  SELECT l_orderkey AS id, sum(l_quantity) AS a, sum(l_discount) AS b, sum(l_tax) AS c,
+         CAST(count(*) AS DOUBLE) AS d FROM lineitem GROUP BY l_orderkey),
+g AS (
+  SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(a * c) AS ac, sum(a * d) AS ad, sum(b * b) AS bb,
+         sum(b * c) AS bc, sum(b * d) AS bd, sum(c * c) AS cc, sum(c * d) AS cd, sum(d * d) AS dd FROM vecs),
+it AS (
+  SELECT 0 AS step, 1.0e0 AS a, 0.0e0 AS b, 0.0e0 AS c, 0.0e0 AS d
+  UNION ALL
+  SELECT step + 1, w / norm, x / norm, y / norm, z / norm FROM (
+    SELECT step, w, x, y, z, sqrt(w * w + x * x + y * y + z * z) AS norm FROM (
+      SELECT step, aa * a + ab * b + ac * c + ad * d AS w, ab * a + bb * b + bc * c + bd * d AS x,
+             ac * a + bc * b + cc * c + cd * d AS y, ad * a + bd * b + cd * c + dd * d AS z
+      FROM it, g WHERE step < 200))),
+basis AS (SELECT a, b, c, d FROM it WHERE step = 200)
+SELECT id, round(v.a * s.a + v.b * s.b + v.c * s.c + v.d * s.d, 6) AS svd_0 FROM vecs v, basis s""",
     "stack": f"""
 WITH RECURSIVE {DOCREG_SQL},
 known AS (SELECT *, {fold_sql('id', 5, 1000)} AS fold FROM docreg WHERE id IN (SELECT doc_id FROM labels)),

@@ -69,12 +69,11 @@ def read_blocks(spark, sf):
     path = fresh_path(spark, "corpus")
     corpus = clean.build_corpus(_docs(spark, sf), table(spark, sf, "conversations"), col="text")
     tables.write_lines(corpus, "text", path)
-    lines = tables.read_blocks(spark, path, BLOCK)
-    ids = enc.token_ids(lines, "line", F.col("tokens"), _vocab(spark, sf))
-    return ids.select(
-        F.md5("line").alias("line"),
-        (F.size("ids") + 2).cast("bigint").alias("length"),
-        _digest("ids").alias("digest"),
+    blocks = enc.read_blocks(spark, path, _vocab(spark, sf), BLOCK)
+    return blocks.select(
+        F.size("input_ids").cast("bigint").alias("length"),
+        _total("attention_mask").alias("used"),
+        _digest("input_ids").alias("digest"),
     )
 
 
@@ -152,7 +151,7 @@ single AS (SELECT k, generate_subscripts(words, 1) AS pos, unnest(words) AS toke
 found AS (
   SELECT k, list(CASE WHEN token_id <= {VOCAB_SIZE + 3} THEN token_id ELSE 3 END ORDER BY pos) AS ids
   FROM single LEFT JOIN vocab USING (token) GROUP BY k)
-SELECT md5(line) AS line, CAST(len(words) + 2 AS BIGINT) AS length,
-       md5(array_to_string(coalesce(ids, []), ',')) AS digest
+SELECT CAST(len(words) + 2 AS BIGINT) AS length, CAST(len(words) + 2 AS BIGINT) AS used,
+       md5(array_to_string(list_concat([0], coalesce(ids, []), [2]), ',')) AS digest
 FROM kept LEFT JOIN found USING (k)""",
 }

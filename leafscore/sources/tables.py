@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafscore.functions.text import first_tokens
-
 # Texts hold newlines and quotes: quotes are doubled, as pandas writes them, and white space at the
 # ends of a field is part of the text. One file with embedded newlines cannot be split between tasks,
 # so large tables should come as many files.
@@ -62,11 +60,11 @@ def write_lines(df: DataFrame, col: str, path: str) -> None:
     df.select(F.col(col).alias("value")).write.text(path)
 
 
-def read_blocks(spark: SparkSession, path: str, block: int = 256) -> DataFrame:
-    """Non-blank lines of a corpus, each cut to the tokens that fit beside the two end markers."""
-    lines = spark.read.text(path).select(
-        F.explode(F.split("value", _OTHER_LINE_BREAKS)).alias("line")
-    )
-    return lines.filter(F.col("line").rlike(r"(?U)\S")).select(
-        "line", first_tokens(F.col("line"), block - 2).alias("tokens")
-    )
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (line_id, line): the lines of a corpus that are not blank.
+
+    Ids follow from the file pieces alone, so a repeated task gives the same ones.
+    """
+    pieces = spark.read.text(path).select(F.explode(F.split("value", _OTHER_LINE_BREAKS)).alias("line"))
+    lines = pieces.filter(F.col("line").rlike(r"(?U)\S"))
+    return lines.select(F.monotonically_increasing_id().alias("line_id"), "line")
