@@ -38,16 +38,16 @@ def _hashes_at(hashed: DataFrame, counts: pd.DataFrame, ranks: dict[int, list[in
     # At most K - 1 rows per stratum.
     cuts = hashed.sparkSession.createDataFrame(wanted, "stratum int, prefix string, place int, rank bigint")
     prefix = F.substring("hash", 1, digits)
-    near = hashed.withColumn("prefix", prefix).join(
-        F.broadcast(cuts.select("stratum", "prefix").distinct()), ["stratum", "prefix"], "left_semi"
-    )
+    near = hashed.withColumn("prefix", prefix).filter(F.col("prefix").isin(sorted({w[1] for w in wanted})))
+    near = near.join(F.broadcast(cuts.select("stratum", "prefix")), ["stratum", "prefix"], "left_semi")
     place = F.row_number().over(Window.partitionBy("stratum", "prefix").orderBy("hash"))
     found = near.withColumn("place", place).join(F.broadcast(cuts), ["stratum", "prefix", "place"])
     return {(r.stratum, r.rank): r.hash for r in found.select("stratum", "rank", "hash").collect()}
 
 
-def _runs_passed(digest: Column, starts: Iterable[str]) -> Column:
-    passed = [(digest >= F.lit(h)).cast("int") for h in starts]
+def _runs_passed(digest: Column, starts: Iterable[Column]) -> Column:
+    """How many runs have begun at or before this hash; a run without a start never begins."""
+    passed = [F.coalesce(digest >= start, F.lit(False)).cast("int") for start in starts]
     return sum(passed, F.lit(0))
 
 
@@ -64,7 +64,8 @@ def kfold(df: DataFrame, key: str, k: int, seed, name: str = "fold") -> DataFram
         raise ValueError(f"cannot make {k} folds of {n} rows")
     first = [j * (n // k) + min(j, n % k) for j in range(1, k)]
     cuts = _hashes_at(hashed, counts, {0: first}, 4)
-    return df.withColumn(name, _runs_passed(digest, [cuts[0, r] for r in first]))
+    fold = _runs_passed(F.col("__hash"), [F.lit(cuts[0, r]) for r in first])
+    return df.withColumn("__hash", digest).withColumn(name, fold).drop("__hash")
 
 
 def equal_width_bins(df: DataFrame, y: str, name: str = "bin") -> DataFrame:
@@ -99,10 +100,13 @@ def kfold_stratified(df: DataFrame, key: str, y: str, k: int, seed, name: str =
     if before < k:
         raise ValueError(f"cannot make {k} folds of {before} rows")
     cuts = _hashes_at(hashed, counts, first, 3)
-    stratum = F.coalesce("__bin", F.lit(-1))
-    fold = F.lit(None).cast("int")
-    for s, ranks in first.items():
-        # A run that would begin behind the last row of the bin is empty and has no cut.
-        starts = [cuts[s, r] for r in ranks if (s, r) in cuts]
-        fold = F.when(stratum == s, _runs_passed(digest, starts)).otherwise(fold)
-    return binned.withColumn(name, fold).drop("__bin")
+    # One row per bin with the hashes where its folds begin. A run that would begin behind the last row
+    # of the bin is empty and has none.
+    rows = [(s, *[cuts.get((s, r)) for r in ranks]) for s, ranks in first.items()]
+    names = [f"__start{j}" for j in range(1, k)]
+    schema = ", ".join(["__stratum int", *[f"{c} string" for c in names]])
+    starts = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    keyed = binned.withColumn("__hash", digest).withColumn("__stratum", F.coalesce("__bin", F.lit(-1)))
+    fold = _runs_passed(F.col("__hash"), [F.col(c) for c in names])
+    dealt = keyed.join(starts, "__stratum", "left").withColumn(name, fold)
+    return dealt.drop("__stratum", "__hash", "__bin", *names)

@@ -130,7 +130,10 @@ def fit_vector_folds(df: DataFrame, vec: str, width: int, y: str, fit: Fit, fold
 
 
 def score_oof(df: DataFrame, xs: Sequence[str], models: Models, fold: str = "fold", name: str = "pred") -> DataFrame:
-    """Score each row with the model that has not seen it. The K models are joined by fold."""
+    """Score each row with the model that has not seen it. The K models are joined by fold.
+
+    A row of no fold keeps its place and has no score.
+    """
     weights = [f"__w{i}" for i in range(len(xs))]
     rows = [
         (k, float(b), *map(float, w)) for (_, k), w, b in zip(models.names, models.coef, models.bias)
@@ -138,7 +141,7 @@ def score_oof(df: DataFrame, xs: Sequence[str], models: Models, fold: str = "fol
     schema = f"{fold} int, __b double, " + ", ".join(f"{w} double" for w in weights)
     table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))  # K rows
     score = sum((F.col(x) * F.col(w) for x, w in zip(xs, weights)), F.col("__b"))
-    return df.join(table, fold).withColumn(name, score).drop("__b", *weights)
+    return df.join(table, fold, "left").withColumn(name, score).drop("__b", *weights)
 
 
 def score_unseen(df: DataFrame, xs: Sequence[str], models: Models, name: str = "pred") -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from leafscore.operators.moments import fold_moments
 
+# The weights of three model families in their blend.
+FAMILY_WEIGHTS = (0.3, 0.5, 0.2)
+
 
 def _rmse(y: str, p: str):
     return F.sqrt(F.avg(F.pow(F.col(y) - F.col(p), 2)))

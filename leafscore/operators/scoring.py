@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +26,17 @@ def score_all(df: DataFrame, vec: str, models: Models, key: str = "id") -> DataF
         ]
     )
     return scored.select(key, F.inline(named))
+
+
+def score_families(df: DataFrame, vec: str, models: Models, key: str = "id") -> DataFrame:
+    """Rows (id, one column per family): the mean score of the family's fold models.
+
+    The mean of linear scores is the score of the mean coefficients, so nothing is spread out into
+    rows and gathered again: no shuffle.
+    """
+    families = sorted({family for family, _ in models.names})
+    rows = [[i for i, (family, _) in enumerate(models.names) if family == f] for f in families]
+    coef = np.array([models.coef[r].mean(axis=0) for r in rows])
+    bias = np.array([models.bias[r].mean() for r in rows])
+    scored = df.select(key, linear_scores(coef, bias)(vec).alias("__s"))
+    return scored.select(key, *[F.col("__s")[i].alias(f) for i, f in enumerate(families)])

@@ -23,8 +23,7 @@ from leafscore.plans.checks.stand_ins import (
 )
 from leafscore.session import materialise
 
-# The weights of three model families in their blend.
-FAMILY_WEIGHTS = {"A": 0.3, "N": 0.5, "R": 0.2}
+WEIGHTS = dict(zip(("A", "N", "R"), metrics.FAMILY_WEIGHTS))
 
 
 def fold_mean(spark, sf):
@@ -40,11 +39,11 @@ def _families(spark, sf):
 
 
 def blend_weighted(spark, sf):
-    return metrics.blend(_families(spark, sf), FAMILY_WEIGHTS).withColumn("pred", F.round("pred", 6))
+    return metrics.blend(_families(spark, sf), WEIGHTS).withColumn("pred", F.round("pred", 6))
 
 
 def blend_equal(spark, sf):
-    return metrics.blend(_families(spark, sf), list(FAMILY_WEIGHTS)).withColumn("pred", F.round("pred", 6))
+    return metrics.blend(_families(spark, sf), list(WEIGHTS)).withColumn("pred", F.round("pred", 6))
 
 
 def rmse_all(spark, sf):

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from leafscore.functions.vectors import layer_norm, linear_score
 from leafscore.operators import pooling, scoring
-from leafscore.operators.metrics import fold_mean
+from leafscore.operators.metrics import FAMILY_WEIGHTS, fold_mean
+from leafscore.plans import inference
 from leafscore.plans.checks.stand_ins import (
     TOK_LAYERS_SQL,
     TOK_SQL,
@@ -126,6 +127,15 @@ def load_family(spark, sf):
     return fold_mean(scores).withColumn("pred", F.round("pred", 6))
 
 
+def infer(spark, sf):
+    """All families over all embeddings, into the template."""
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    template = rows.select("id", F.lit(0.0).alias("target"))
+    models = load_models(spark, _registry(spark))
+    filled = inference.infer(template, rows, "embedding", models, dict(zip(FAMILIES, FAMILY_WEIGHTS)))
+    return filled.withColumn("target", F.round("target", 6))
+
+
 QUERIES = {
     "pool_mean": pool_mean,
     "pool_masked_mean": pool_masked_mean,
@@ -142,6 +152,7 @@ QUERIES = {
     "linear_score": scored,
     "score_all": score_all,
     "load_models": load_family,
+    "infer": infer,
 }
 
 
@@ -247,4 +258,7 @@ SELECT vec_id AS id, round(list_dot_product(CAST(embedding AS DOUBLE[]), {head_s
 FROM embeddings""",
     "score_all": f"{_SCORES_SQL} SELECT id, family, fold, round(pred, 6) AS pred FROM scores",
     "load_models": f"{_SCORES_SQL} SELECT id, round(avg(pred), 6) AS pred FROM scores WHERE family = 'b' GROUP BY id",
+    "infer": f"""{_SCORES_SQL}
+SELECT id, round(0.3e0 * avg(pred) FILTER (family = 'a') + 0.5e0 * avg(pred) FILTER (family = 'b')
+                 + 0.2e0 * avg(pred) FILTER (family = 'c'), 6) AS target FROM scores GROUP BY id""",
 }
