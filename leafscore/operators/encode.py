@@ -57,11 +57,13 @@ def token_ids(df: DataFrame, key: str, words: Column, vocab: DataFrame) -> DataF
     known = vocab.select("token", "token_id").limit(MAX_SENT_TOKENS + 1).toArrow()
     if known.num_rows <= MAX_SENT_TOKENS:
         return rows.select(key, lookup(known)("__words").alias("ids"))
-    single = rows.select(key, F.posexplode_outer("__words").alias("__pos", "token"))
+    present = F.col("__words").isNotNull().alias("__present")
+    single = rows.select(key, present, F.posexplode_outer("__words").alias("__pos", "token"))
     found = single.join(vocab.select("token", F.col("token_id").cast("int")), "token", "left")
     pair = F.when(F.col("__pos").isNotNull(), F.struct("__pos", F.coalesce("token_id", F.lit(UNK)).alias("id")))
-    together = found.groupBy(key).agg(F.array_sort(F.collect_list(pair)).alias("__pairs"))
-    return together.select(key, F.transform("__pairs", lambda p: p["id"]).alias("ids"))
+    together = found.groupBy(key, "__present").agg(F.array_sort(F.collect_list(pair)).alias("__pairs"))
+    ids = F.when(F.col("__present"), F.transform("__pairs", lambda p: p["id"]))
+    return together.select(key, ids.alias("ids"))
 
 
 def encode(

@@ -115,10 +115,10 @@ def gram(df: DataFrame, vec: str, width: int, by: str | None = None, shift=None)
 
 def collect_gram(rows: DataFrame, width: int) -> dict[int, np.ndarray]:
     """Z'Z per fold: K matrices of (width + 1) squared numbers."""
-    out: dict[int, np.ndarray] = {}
-    for r in rows.toLocalIterator():
-        out.setdefault(r.fold, np.zeros((width + 1, width + 1)))[r.i] = r.row
-    return out
+    found = rows.toArrow().combine_chunks().sort_by([("fold", "ascending"), ("i", "ascending")])
+    folds = found["fold"].to_numpy()
+    cells = found["row"].combine_chunks().flatten().to_numpy().reshape(-1, width + 1)
+    return {int(k): cells[folds == k] for k in np.unique(folds)}
 
 
 def fold_moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> Moments:

@@ -95,7 +95,7 @@ def moments(spark, sf):
         F.col("i").cast("bigint").alias("i"),
         F.col("j").cast("bigint").alias("j"),
         "n",
-        *[F.round(c, 6).alias(c) for c in ("mean_i", "mean_j", "cov")],
+        *[F.round(c, digits).alias(c) for c, digits in (("mean_i", 9), ("mean_j", 9), ("cov", 6))],
     )
 
 
@@ -167,7 +167,7 @@ UNION ALL SELECT 'm2', round(b, 6), round(rmse, 6) FROM e
 UNION ALL SELECT 'm3', round(1 - a - b, 6), round(rmse, 6) FROM e""",
     "moments": f"""
 WITH {DOCREG_SQL}, f AS (SELECT *, [x1, x2, y] AS v, {fold_sql('id', 5, 1000)} AS fold FROM docreg)
-SELECT fold, i, j, count(*) AS n, round(avg(v[i + 1]), 6) AS mean_i, round(avg(v[j + 1]), 6) AS mean_j,
+SELECT fold, i, j, count(*) AS n, round(avg(v[i + 1]), 9) AS mean_i, round(avg(v[j + 1]), 9) AS mean_j,
        round(covar_pop(v[i + 1], v[j + 1]), 6) AS cov
 FROM f, range(0, 3) a(i), range(0, 3) b(j) WHERE i <= j GROUP BY fold, i, j""",
     "gram": """

@@ -45,7 +45,7 @@ def test_vocabulary_order(spark):
 def test_encoded_rows_have_the_full_length(spark, monkeypatch, sent):
     """Whether the vocabulary is sent to the tasks or joined."""
     monkeypatch.setattr(enc, "MAX_SENT_TOKENS", sent)
-    texts = ["b z a", "", "a " * 300, "d"]
+    texts = ["b z a", "", "a " * 300, "d", None]
     rows = enc.encode(docs(spark, texts), "id", "text", vocab(spark), 8).collect()
     found = {r.id: (r.input_ids, r.attention_mask) for r in rows}
     assert found == {
@@ -53,6 +53,7 @@ def test_encoded_rows_have_the_full_length(spark, monkeypatch, sent):
         1: ([0, 2] + [1] * 6, [1, 1] + [0] * 6),
         2: ([0] + [5] * 6 + [2], [1] * 8),
         3: ([0, 7, 2] + [1] * 5, [1] * 3 + [0] * 5),
+        4: (None, None),
     }
 
 
