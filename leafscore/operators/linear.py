@@ -209,3 +209,9 @@ def search_ard(m: Moments, draws: DataFrame) -> DataFrame:
 
     schema = "draw bigint, alpha_1 double, alpha_2 double, lambda_1 double, lambda_2 double, rmse double"
     return draws.mapInPandas(score, schema)
+
+
+def best_priors(found: DataFrame) -> ArdPriors:
+    """The priors of the draw with the lowest error, the first one on ties."""
+    best = found.agg(F.min_by(F.struct(*SEARCH_RANGES), F.struct("rmse", "draw")).alias("best")).first().best
+    return ArdPriors(*best)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leafscore.operators import folds, linear, svd, trees
 from leafscore.operators.moments import fold_moments
-from leafscore.plans import pseudo, stacking
+from leafscore.plans import heads, pseudo, stacking
 from leafscore.plans.checks.stand_ins import (
     DOCREG_SQL,
     MODELS,
@@ -55,6 +55,21 @@ def ridge_vectors(spark, sf):
     return _shown(linear.score_vector_oof(rows, "embedding", models))
 
 
+def fit_head(spark, sf):
+    """A head on the embeddings of labelled documents: out of fold there, fold mean elsewhere."""
+    vecs = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    labels = table(spark, sf, "labels").select(
+        F.col("doc_id").alias("id"),
+        F.col("quality").cast("double").alias("target"),
+        F.col("toxic").cast("double").alias("standard_error"),
+    )
+    train = materialise(vecs.join(labels, "id"), "train")
+    unseen = vecs.join(labels, "id", "left_anti")
+    done = heads.fit_head(train, unseen.select("id", F.lit(0.0).alias("target")), unseen, "embedding", WIDTH)
+    oof = done.oof.select("id", F.col("pred_target").alias("target"))
+    return oof.unionByName(done.submission).withColumn("target", F.round("target", 6))
+
+
 DRAWS = 20
 
 
@@ -152,6 +167,7 @@ def run_stack_linear(spark, sf):
 QUERIES = {
     "ridge_oof": ridge_oof,
     "ridge_vectors": ridge_vectors,
+    "fit_head": fit_head,
     "ard_oof": ard_oof,
     "ard_oof_three": ard_oof_three,
     "search_ard": search_ard,

@@ -77,6 +77,20 @@ def head_attention_cls(spark, sf):
     return _scored(pooling.concat_pools(rows, WIDE, ["attention", "cls"], attention_head(WIDE)), 2 * WIDE)
 
 
+def head_attention_cls_four(spark, sf):
+    """Four last layers; [attention, first token], linear."""
+    rows, width = _last_layers(spark, sf, 4), 4 * WIDTH
+    pooled = pooling.concat_pools(rows, width, ["attention", "cls"], attention_head(width))
+    return _scored(pooled, 2 * width)
+
+
+def head_norm(spark, sf):
+    """A ready document vector; layer norm, linear."""
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    normed_rows = rows.select("id", layer_norm(WIDTH)("embedding").alias("vec"))
+    return normed_rows.select("id", F.round(linear_score(head())("vec"), 6).alias("score"))
+
+
 def head_cls_mean(spark, sf):
     """Last layers; [first token, normed mean], linear."""
     return _scored(pooling.concat_pools(_last_layers(spark, sf), WIDE, ["cls", "mean"]), 2 * WIDE)
@@ -146,6 +160,8 @@ QUERIES = {
     "concat_pools": concat_pools,
     "head_mean": head_mean,
     "head_attention_cls": head_attention_cls,
+    "head_attention_cls_four": head_attention_cls_four,
+    "head_norm": head_norm,
     "head_cls_mean": head_cls_mean,
     "head_cls_mean_attention": head_cls_mean_attention,
     "layer_norm": normed,
@@ -198,11 +214,15 @@ rows AS (
 cls AS (SELECT doc, vec FROM rows WHERE pos = 0)"""
 
 
-_WIDE_PARTS = f"""
-{_layers_sql(LAST)},
+def _wide_parts(last: int) -> str:
+    return f"""
+{_layers_sql(last)},
 {_mean_cte('pooled', 'rows', 'mask', '1e-9')},
 {_norm_cte('normed', 'pooled')},
-{_attention_cte('attn', 'rows', WIDE)}"""
+{_attention_cte('attn', 'rows', last * WIDTH)}"""
+
+
+_WIDE_PARTS = _wide_parts(LAST)
 
 
 def _score_sql(vec: str, width: int) -> str:
@@ -242,6 +262,13 @@ SELECT doc, {_score_sql('vec', WIDTH)} FROM normed""",
     "head_attention_cls": f"""
 WITH {_WIDE_PARTS}
 SELECT doc, {_score_sql('list_concat(a.vec, c.vec)', 2 * WIDE)} FROM attn a JOIN cls c USING (doc)""",
+    "head_attention_cls_four": f"""
+WITH {_wide_parts(4)}
+SELECT doc, {_score_sql('list_concat(a.vec, c.vec)', 8 * WIDTH)} FROM attn a JOIN cls c USING (doc)""",
+    "head_norm": f"""
+WITH e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
+{_norm_cte('normed', 'e', 'id')}
+SELECT id, {_score_sql('vec', WIDTH)} FROM normed""",
     "head_cls_mean": f"""
 WITH {_WIDE_PARTS}
 SELECT doc, {_score_sql('list_concat(c.vec, n.vec)', 2 * WIDE)} FROM cls c JOIN normed n USING (doc)""",

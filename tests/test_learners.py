@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from leafscore.operators import folds, linear, trees
 from leafscore.operators.moments import fold_moments
-from leafscore.plans import pseudo, stacking
+from leafscore.plans import heads, pseudo, stacking
 
 XS = ["a", "b", "c"]
 
@@ -125,6 +125,8 @@ def test_search_prefers_the_lowest_error(spark):
     oof = oof_numpy(pdf, lambda x, y: ard_numpy(x, y, priors))
     per_fold = [np.sqrt(((oof - pdf["y"])[pdf["fold"] == k] ** 2).mean()) for k in range(5)]
     assert row["rmse"] == pytest.approx(np.mean(per_fold))
+    best = found.sort_values(["rmse", "draw"]).iloc[0]
+    assert linear.best_priors(spark.createDataFrame(found)).lambda_1 == best["lambda_1"]
 
 
 def test_trees_predict_every_row_once_and_beat_the_mean(spark):
@@ -202,3 +204,20 @@ def test_folds_of_the_same_seed_feed_the_same_models(spark):
     a = linear.fit_folds(folds.kfold(plain.repartition(1), "id", 5, 1), XS, "y", linear.ridge_fit())
     b = linear.fit_folds(folds.kfold(plain.repartition(9), "id", 5, 1), XS, "y", linear.ridge_fit())
     assert np.allclose(a.coef, b.coef)
+
+
+def test_head_on_vectors_equals_numpy(spark):
+    pdf, df = table(spark, 120)
+    vecs = df.select("id", F.array(*XS).alias("v"), F.col("y").alias("target"), F.lit(0.5).alias("standard_error"))
+    train, unseen = vecs.filter("id < 100"), vecs.filter("id >= 100").select("id", "v")
+    spoiled = train.union(spark.createDataFrame([(500, [9.0] * 3, 0.0, 0.0)], train.schema))
+    template = unseen.select("id", F.lit(0.0).alias("target"))
+    done = heads.fit_head(spoiled, template, unseen, "v", 3)
+    oof = done.oof.toPandas().sort_values("id")
+    assert oof["id"].tolist() == list(range(100))
+    known = pdf[pdf["id"] < 100].assign(fold=oof["fold"].to_numpy())
+    assert np.allclose(oof["pred_target"], oof_numpy(known, lambda x, y: ridge_numpy(x, y, 10.0)))
+    coef, bias = done.models.mean()
+    filled = done.submission.toPandas().sort_values("id")
+    assert np.allclose(filled["target"], pdf.loc[pdf["id"] >= 100, XS].to_numpy() @ coef + bias)
+    assert done.scores.count() == 5

@@ -172,3 +172,9 @@ def test_vector_moments_without_groups(spark):
     df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").repartition(7)
     m = vector_moments(df, "v", D)
     assert np.allclose(m.mean[0], x.mean(axis=0)) and np.allclose(m.cov[0], np.cov(x.T, bias=True))
+
+
+def test_svd_of_nothing_is_an_error(spark):
+    empty = spark.createDataFrame([], "id int, v array<double>")
+    with pytest.raises(ValueError):
+        svd.svd_fit(empty, "v", D)
