@@ -29,8 +29,8 @@ WIDE = LAST * WIDTH
 
 
 def _cells(pooled, *keys, digits=6):
-    """One row per entry of each vector."""
-    cells = pooled.select(*keys, F.posexplode("vec").alias("dim", "x"))
+    """One row per entry of each vector. The outer form, or a filter on the vector would make it twice."""
+    cells = pooled.select(*keys, F.posexplode_outer("vec").alias("dim", "x"))
     return cells.select(*keys, F.col("dim").cast("bigint").alias("dim"), F.round("x", digits).alias("x"))
 
 
