@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafscore.functions.text import strip_newlines
+from leafscore.operators.align import align, single_rows
 from leafscore.operators.rank import global_rank
 
 
@@ -35,15 +36,15 @@ def split_fold(df: DataFrame, k: int, fold: str = "fold") -> tuple[DataFrame, Da
 
 
 def assign_where(df: DataFrame, updates: DataFrame, col: str, key: str = "id") -> DataFrame:
-    """Overwrite `col` for the keys in `updates`, which holds each key once; others keep their value."""
-    new = updates.select(key, F.col(col).alias("__new"), F.lit(True).alias("__hit"))
+    """Overwrite `col` for the keys in `updates`, others keep their value. A repeated update is an error."""
+    new = single_rows(updates.select(key, F.col(col).alias("__new"), F.lit(True).alias("__hit")), key)
     value = F.when(F.col("__hit"), F.col("__new")).otherwise(F.col(col))
     return df.join(new, key, "left").withColumn(col, value).drop("__new", "__hit")
 
 
 def fill_submission(template: DataFrame, preds: DataFrame, key: str = "id", col: str = "target") -> DataFrame:
-    """The template's ids, each with the prediction made for it."""
-    return template.drop(col).join(preds.select(key, col), key, "left").select(template.columns)
+    """The template's ids, each with the prediction made for it. A repeated prediction is an error."""
+    return align(template.drop(col), preds.select(key, col), key).select(template.columns)
 
 
 def dense_index(df: DataFrame, key: str, name: str = "row_index") -> DataFrame:

@@ -31,6 +31,15 @@ def test_assign_where_can_assign_null(spark):
     assert values(clean.assign_where(df, updates, "p")) == [(1, 1.0), (2, 9.0), (3, None)]
 
 
+def test_repeated_updates_are_refused(spark):
+    df = frame(spark, [(1, 1.0)], "id int, p double")
+    twice = frame(spark, [(1, 2.0), (1, 3.0)], "id int, p double")
+    with pytest.raises(Exception, match="key repeats: 1"):
+        clean.assign_where(df, twice, "p").collect()
+    with pytest.raises(Exception, match="key repeats: 1"):
+        clean.fill_submission(df, twice, col="p").collect()
+
+
 def test_fill_submission_keeps_every_template_row(spark):
     template = frame(spark, [("a", 0.0), ("b", 0.0)], "id string, target double")
     preds = frame(spark, [("b", 1.5), ("z", 9.0)], "id string, target double")
