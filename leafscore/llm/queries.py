@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafscore.llm import block_dedup, suffix_dedup
+from leafscore.llm import block_dedup, language_id, order_minhash, suffix_dedup, toxicity, winnowing
 from leafscore.llm.store import table
 
 
+def op1_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op4_winnowing(spark: SparkSession, sf: str) -> DataFrame:
+    return winnowing.winnowing_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op6_block_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return block_dedup.block_report(table(spark, sf, "documents"))
 
@@ -21,9 +37,13 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_order_minhash,
+        op2_language_id,
+        op3_toxicity,
+        op4_winnowing,
         op6_block_dedup,
         op10_suffix_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_winnowing": winnowing.SQL}

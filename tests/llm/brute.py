@@ -44,3 +44,52 @@ def words_left(docs, width):
         kept = " ".join(w for w, g in zip(words, gone) if not g)
         out.append((doc, len(words), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+def near_classes(docs, similarity=0.8, k=5):
+    """{doc_id: lowest doc_id of its class} for [(doc_id, text)] with distinct ids, by all pairs."""
+    elements, root = {}, {}
+    for doc, text in docs:
+        if doc is None:
+            continue
+        root[doc] = doc
+        if text is None:
+            elements[doc] = None
+            continue
+        words = re.findall("[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        seen, out = {}, []
+        for i in range(max(1, len(words) - k + 1) if words else 0):
+            s = tuple(words[i : i + k])
+            out.append((s, seen.get(s, 0)))
+            seen[s] = seen.get(s, 0) + 1
+        elements[doc] = out or [text]
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def aligned(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = 0
+            for j, y in enumerate(b):
+                above = row[j + 1]
+                row[j + 1] = before + 1 if x == y else max(above, row[j])
+                before = above
+        return row[-1]
+
+    ids = sorted(elements)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            x, y = elements[a], elements[b]
+            if x is None or y is None or find(a) == find(b):
+                continue
+            n = len(x) + len(y)
+            if len(set(x) & set(y)) < similarity / (1 + similarity) * n - 1e-9:
+                continue
+            m = len(x) if x == y else aligned(x, y)
+            if m >= similarity * (n - m) - 1e-9:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {d: find(d) for d in ids}
