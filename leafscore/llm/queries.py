@@ -4,9 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from leafscore.llm import block_dedup, language_id, order_minhash, suffix_dedup, toxicity, winnowing
+from pyspark.sql import functions as F
+
+from leafscore.llm import (
+    block_dedup,
+    bpe,
+    language_id,
+    license_scan,
+    norm_topk,
+    order_minhash,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    winnowing,
+)
 from leafscore.llm.store import table
 
 
@@ -26,10 +39,26 @@ def op4_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     return winnowing.winnowing_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op5_norm_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return norm_topk.top_products(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op6_block_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return block_dedup.block_report(table(spark, sf, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return token_files.token_report(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op9_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.license_report(table(spark, sf, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.suffix_report(table(spark, sf, "documents"))
 
@@ -41,9 +70,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_id,
         op3_toxicity,
         op4_winnowing,
+        op5_norm_topk,
         op6_block_dedup,
+        op7_token_files,
+        op8_byte_bpe,
+        op9_license_scan,
         op10_suffix_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {"op4_winnowing": winnowing.SQL}
+ORACLES: dict[str, str] = {
+    "op4_winnowing": winnowing.SQL,
+    "op5_norm_topk": norm_topk.SQL,
+    "op9_license_scan": license_scan.sql(),
+}
