@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
+from pathlib import Path
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 from leafscore.session import materialise
@@ -30,7 +35,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
         return materialise(df, name)
 
 
+@cache
+def _ship(application: str, context: SparkContext) -> str:
+    """A zip of this library, which Spark hands to every worker of the application; made on the driver only."""
+    root = Path(__file__).resolve().parents[1]
+    path = f"{tempfile.mkdtemp(prefix='code-')}/{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(path)
+    return path
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; workers need not have the library installed."""
+    _ship(spark.sparkContext.applicationId, spark.sparkContext)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
