@@ -178,7 +178,7 @@ def block_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     named = rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     found = hits(named, block)
-    judged = judge_spans(spans(named, found, width, block, shuffle_partitions(docs.sparkSession)))
+    judged = judge_spans(spans(named, found, width, block, shuffle_partitions(docs.sparkSession)), width, block)
 
     def finish(row: pa.RecordBatch, mask: np.ndarray | None) -> tuple:
         data, begin, end, _ = word_spans(row)

@@ -9,7 +9,7 @@ documents have equal anchors at equal places. The windows of one anchor form a s
    document id being the last sort key, so that a hot anchor is spread over partitions). Of equal spans
    all but the smallest document's are repeats as a whole. Different spans with equal anchor content are
    to be resolved window by window, if they agree far enough to the right or to the left of the anchor to
-   share one. Groups at the border of a partition may go on in the next one: they are always resolved.
+   share one, and only the windows on that side. Groups at the border of a partition may go on in the next one: they are always resolved.
 2. `judge_windows` sorts the windows of the spans to resolve in the same way; a run of equal windows that
    crosses a border is settled with the partitions' first and last keys (a few numbers per partition).
 3. `removed` turns both into covered symbols.
@@ -32,7 +32,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from leafscore.llm.buffers import mix, running, span_hash, window_hash
 from leafscore.llm.store import column, shuffle_partitions, whole, written
 
-SPANS = "head long, tail int, span long, context int, doc_id long, loc long"
+SPANS = "head long, tail int, span long, context long, doc_id long, loc long"
 WINDOWS = "w1 long, w2 long, doc_id long, loc long"
 _TAG_BITS, _LEN_BITS = 16, 8
 # Windows are handed on in batches of about this many rows.
@@ -99,26 +99,31 @@ def governed(place: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.nda
 
 
 def span_columns(sums, offsets, start, count, anchor, doc, width: int, block: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of the whole span with its anchor's place, hashes of what must agree beside the anchor).
+    """(hash of the whole span with its anchor's place, what must agree beside the anchor).
 
-    A shared window reaches `half` symbols beyond the anchor block to the right or `half` to the left.
+    A shared window reaches `half` symbols beyond the anchor block to the right or `half` to the left; 24
+    bits of the hash of each side are kept, and in 8 bits the anchor's distance from the first window.
     """
-    half = (width - block + 1) // 2
+    half = half_of(width, block)
     span = mix(span_hash(sums, start, start + count + width - 1) + (anchor - start).astype(np.uint64))
     right = span_hash(sums, anchor, np.minimum(anchor + block + half, offsets[doc + 1]))
     left = span_hash(sums, np.maximum(anchor - half, offsets[doc]), anchor)
-    low = np.uint64(0xFFFF)
-    context = ((right & low) << np.uint64(16) | (left & low)).astype(np.uint32)
-    return span.view(np.int64), context.view(np.int32)
+    low = np.uint64(0xFFFFFF)
+    context = (right & low) << np.uint64(32) | (left & low) << np.uint64(8) | (anchor - start).astype(np.uint64)
+    return span.view(np.int64), context.view(np.int64)
+
+
+def half_of(width: int, block: int) -> int:
+    return (width - block + 1) // 2
 
 
 def _shared_in_group(group: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Which rows share their 16 bits with another row of their group."""
-    _, back, counts = np.unique((group << 16) | bits, return_inverse=True, return_counts=True)
+    """Which rows share their 24 bits with another row of their group."""
+    _, back, counts = np.unique((group << 24) | bits, return_inverse=True, return_counts=True)
     return counts[back] > 1
 
 
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _judge(batches: Iterator[pa.RecordBatch], width: int, block: int) -> Iterator[pa.RecordBatch]:
     rows = whole(batches)
     if rows is None:
         return
@@ -131,25 +136,39 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = np.flatnonzero(new_span)
     run = np.cumsum(new_span) - 1
     repeat = doc > doc[first][run]
-    # One row per distinct span: does another span of its group agree on one side?
+    # One row per distinct span: does another span of its group agree to the right or to the left?
     group = np.cumsum(new_group)[first]
-    bits = context[first].view(np.uint32).astype(np.int64)
-    open_span = _shared_in_group(group, bits >> 16) | _shared_in_group(group, bits & 0xFFFF)
+    bits = context[first]
+    right = _shared_in_group(group, bits >> 32)
+    left = _shared_in_group(group, bits >> 8 & 0xFFFFFF)
     starts = np.flatnonzero(new_group)
-    one_doc = np.minimum.reduceat(doc, starts) == np.maximum.reduceat(doc, starts)
-    open_span &= ~one_doc[group - 1]
-    open_span |= (group == 1) | (group == group[-1])
-    kept = repeat | open_span[run]
+    one_doc = (np.minimum.reduceat(doc, starts) == np.maximum.reduceat(doc, starts))[group - 1]
+    border = (group == 1) | (group == group[-1])
+    right, left = (right & ~one_doc) | border, (left & ~one_doc) | border
+    # Windows that begin at most `reach` before the anchor lie to its right, those from `half` on to its left.
+    half = half_of(width, block)
+    reach = width - block - half
+    start, count = loc >> (_TAG_BITS + _LEN_BITS), loc & ((1 << _LEN_BITS) - 1)
+    before = context & 0xFF
+    skipped = np.where(left[run], 0, np.clip(before - reach, 0, count))
+    cut = np.where(right[run], 0, np.clip(half - (before - count + 1), 0, count))
+    kept = repeat | ((right | left)[run] & (skipped + cut < count))
+    skipped, cut = np.where(repeat, 0, skipped), np.where(repeat, 0, cut)
+    loc = pack(start + skipped, count - skipped - cut, loc >> _LEN_BITS & ((1 << _TAG_BITS) - 1))
     yield pa.RecordBatch.from_arrays(
         [pa.array(doc[kept]), pa.array(loc[kept]), pa.array(repeat[kept])], names=["doc_id", "loc", "repeat"]
     )
 
 
-def judge_spans(spans: DataFrame) -> DataFrame:
-    """Rows (doc_id, loc, repeat): spans that are repeats as a whole, and (false) those to resolve."""
+def judge_spans(spans: DataFrame, width: int, block: int) -> DataFrame:
+    """Rows (doc_id, loc, repeat): spans that are repeats as a whole, and (false) what is to resolve."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _judge(batches, width, block)
+
     partitions = shuffle_partitions(spans.sparkSession)
     ranged = spans.repartitionByRange(partitions, "head", "tail", "span", "doc_id")
-    return written(ranged.mapInArrow(_judge, "doc_id long, loc long, repeat boolean"), "spans")
+    return written(ranged.mapInArrow(judge, "doc_id long, loc long, repeat boolean"), "spans")
 
 
 _COMPARED = "doc_id long, loc long, kind int, bucket int, f1 long, f2 long, l1 long, l2 long, low long, runs long"

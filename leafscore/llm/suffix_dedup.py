@@ -76,7 +76,7 @@ def suffixes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def remove_repeats(docs: DataFrame, finish, fields: pa.Schema, columns: list[str], width: int = WIDTH) -> DataFrame:
     """What `finish(row, mask)` makes of every row, where the mask tells the bytes to remove."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", *[c for c in columns if c not in ("doc_id", "text")])
-    return removed(rows, judge_spans(suffixes(rows, width)), width, _symbols, finish, fields)
+    return removed(rows, judge_spans(suffixes(rows, width), width, BLOCK), width, _symbols, finish, fields)
 
 
 def _kept(row: pa.RecordBatch, mask: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
