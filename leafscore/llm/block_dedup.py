@@ -52,12 +52,12 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of equal rank together: the upper ones are mostly zero and compress well."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def _unplanes(data: bytes, kind: str) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8).reshape(size, -1).T.copy().reshape(-1).view(kind)
+    return np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T.copy().reshape(-1).view(kind)
 
 
 def probes(docs: DataFrame, block: int, buckets: int) -> DataFrame:

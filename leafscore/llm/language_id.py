@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafscore.llm.buffers import mix, pieces
-from leafscore.llm.store import batch_from
+from leafscore.llm.store import batch_from, column_of, unused
 
 BUCKETS = 1 << 16
 NGRAMS = (1, 2, 3)
@@ -218,7 +218,13 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """`docs` with `lang_pred` and `score` (0 to 1) added; `und` with score 0 for a null text or one without
     letters. Columns of these names are replaced."""
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    name = unused(docs.columns, "guess")
+    kept = [column_of(docs, c) for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    return docs.select(*kept, guesser(docs, model)(F.col(text)).alias(name)).select("*", f"{name}.*").drop(name)
+
+
+def guesser(docs: DataFrame, model: LanguageModel):
+    """A function of a text column that gives (lang_pred, score)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred string, score double>")
@@ -230,7 +236,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             scores.append(score)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["lang_pred", "score"])
 
-    return docs.select(*columns, guess(F.col(text)).alias("__guess")).select(*columns, "__guess.*")
+    return guess
 
 
 def language_report(docs: DataFrame) -> DataFrame:
@@ -248,6 +254,6 @@ def keep_identified(docs: DataFrame, least: float = 0.35) -> DataFrame:
     """The documents whose language can be told: without null texts, texts without letters, and those whose
     best language is less likely than `least`."""
     model = fit_languages(docs.filter(~held_out()))
-    named = identify(docs.withColumnsRenamed({"lang_pred": "__lang_pred", "score": "__score"}), model)
-    kept = named.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"__lang_pred": "lang_pred", "__score": "score"}).select(docs.columns)
+    name = unused(docs.columns, "guess")
+    named = docs.withColumn(name, guesser(docs, model)(F.col("text")))
+    return named.filter((F.col(name)["lang_pred"] != UNDETERMINED) & (F.col(name)["score"] >= least)).drop(name)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from leafscore.llm.buffers import mix, pieces, running, runs, spaced, span_hash, text_bytes, window_hash
 from leafscore.llm.components import components
 from leafscore.llm.repeats import changes
-from leafscore.llm.store import batch_from, batch_of, written
+from leafscore.llm.store import batch_from, batch_of, unused, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -236,8 +236,9 @@ def _across_classes(starred: DataFrame, roots: DataFrame, compared: DataFrame, d
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the lowest doc_id (of rows that share it, the one with the
     lowest text). Rows without doc_id stay."""
-    classes = near_duplicates(docs).filter("doc_id = class_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(classes, docs["doc_id"] == classes["__kept"]).drop("__kept")
+    lowest, place = unused(docs.columns, "lowest"), unused(docs.columns, "place")
+    classes = near_duplicates(docs).filter("doc_id = class_id").select(F.col("doc_id").alias(lowest)).distinct()
+    kept = docs.join(classes, docs["doc_id"] == classes[lowest], "left_semi")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text")))
-    kept = kept.withColumn("__place", first).filter("__place = 1").drop("__place")
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    kept = kept.withColumn(place, first).filter(F.col(place) == 1).drop(place)
+    return kept.unionAll(docs.filter("doc_id IS NULL"))

@@ -11,7 +11,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from leafscore.session import materialise
 
@@ -53,6 +53,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(columns: list[str], name: str) -> str:
+    """`name`, lengthened until no column has it (names differ by more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def column_of(df: DataFrame, name: str) -> Column:
+    """A column whose name may hold any character."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

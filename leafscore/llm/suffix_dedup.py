@@ -27,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from leafscore.llm.buffers import mix, pieces, running, runs, sliding_first_min, text_bytes, window_hash
 from leafscore.llm.repeats import SPANS, governed, judge_spans, pack, removed, span_columns, text_tags
+from leafscore.llm.store import column_of
 
 # Bytes of a shared string, and of the leading bytes by which suffixes are sorted.
 WIDTH = 50
@@ -74,8 +75,10 @@ def suffixes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, finish, fields: pa.Schema, columns: list[str], width: int = WIDTH) -> DataFrame:
-    """What `finish(row, mask)` makes of every row, where the mask tells the bytes to remove."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text", *[c for c in columns if c not in ("doc_id", "text")])
+    """What `finish(row, mask)` makes of every row, where the mask tells the bytes to remove. The row has
+    doc_id, text, and the named columns as c0, c1, ..."""
+    others = [column_of(docs, c).alias(f"c{i}") for i, c in enumerate(columns)]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), *others)
     return removed(rows, judge_spans(suffixes(rows, width), width, BLOCK), width, _symbols, finish, fields)
 
 
@@ -110,11 +113,10 @@ def remove_shared(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     A character that loses some of its bytes goes as a whole. A null text stays null.
     """
     columns = docs.columns
-    kinds = docs.select(F.col("doc_id").cast("long"), *[c for c in columns if c != "doc_id"]).select(columns)
-    fields = to_arrow_schema(kinds.schema)
+    fields = to_arrow_schema(docs.schema)
 
     def finish(row: pa.RecordBatch, mask: np.ndarray | None) -> tuple:
-        values = {c: row.column(c)[0].as_py() for c in columns}
+        values = {c: row.column(f"c{i}")[0].as_py() for i, c in enumerate(columns)}
         if mask is not None:
             values["text"] = _kept(row, mask)[1].tobytes().decode("utf-8", "ignore")
             if "n_chars" in values:
