@@ -21,7 +21,6 @@ from leafscore.plans.checks.stand_ins import (
     unpivot,
 )
 from leafscore.session import materialise
-from leafscore.sources.tables import spread
 
 
 def global_rank(spark, sf):
@@ -75,7 +74,7 @@ def shuffled_batches(spark, sf):
 
 def _lengths(spark, sf):
     """Token counts, kept: a sort looks at its input twice."""
-    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     return materialise(docs.select("id", F.size(tokens(F.col("text"))).cast("bigint").alias("n")), "lengths")
 
 
@@ -91,7 +90,7 @@ def restore_order(spark, sf):
 
 def pad_to_batch(spark, sf):
     """Token lengths stand for token ids, padded within batches of like length."""
-    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"))
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     ids = docs.select("id", F.transform(tokens(F.col("text")), lambda w: F.length(w)).alias("ids"))
     rows = batches.length_batches(_lengths(spark, sf), "n", "id", 32, 1000).join(ids, "id")
     padded = batches.pad_to_batch(rows, "ids", "batch", 248, 1)

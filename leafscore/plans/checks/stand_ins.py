@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafscore.operators.rank import global_rank
-from leafscore.sources.tables import spread
 
 WIDTH = 64  # width of the given embeddings
 
@@ -217,7 +216,7 @@ def docreg(spark, sf) -> DataFrame:
     def lost(char: str):
         return F.length("text") - F.length(F.replace("text", F.lit(char), F.lit("")))
 
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars"))
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
     return docs.select(
         F.col("doc_id").alias("id"),
         (lost(" ") / 1000).alias("x1"),

@@ -26,9 +26,19 @@ def csv_round_trip(spark, sf):
     )
 
 
+def csv_extra_columns(spark, sf):
+    """A file with more columns than are wanted, in another order."""
+    path = fresh_path(spark, "csv")
+    rows = labelled(spark, sf).withColumn("url", F.concat(F.lit("u"), "id")).withColumn("license", F.lit(None).cast("string"))
+    tables.write_table(rows.select("target", "url", "standard_error", "license", "excerpt", "id"), path)
+    back = tables.read_table(spark, path, TABLE_SCHEMA)
+    return back.select("id", F.md5("excerpt").alias("digest"), "target", "standard_error")
+
+
 def vector_csv(spark, sf):
     path = fresh_path(spark, "vector")
-    table(spark, sf, "lineitem").select("l_extendedprice").write.csv(path)
+    lines = table(spark, sf, "lineitem").orderBy("l_orderkey", "l_linenumber", "l_extendedprice")
+    lines.select("l_extendedprice").write.csv(path)
     return tables.read_vector_csv(spark, path)
 
 
@@ -106,6 +116,7 @@ def fill_submission(spark, sf):
 
 QUERIES = {
     "csv_round_trip": csv_round_trip,
+    "csv_extra_columns": csv_extra_columns,
     "vector_csv": vector_csv,
     "vectors_round_trip": vectors_round_trip,
     "project_cast": project_cast,
@@ -126,7 +137,11 @@ WITH {LABELLED_SQL}
 SELECT CAST(id AS VARCHAR) AS id, md5(excerpt) AS digest, CAST(length(excerpt) AS BIGINT) AS n,
        target, standard_error
 FROM labelled""",
-    "vector_csv": "SELECT l_extendedprice AS v FROM lineitem",
+    "csv_extra_columns": f"""
+WITH {LABELLED_SQL}
+SELECT CAST(id AS VARCHAR) AS id, md5(excerpt) AS digest, target, standard_error FROM labelled""",
+    "vector_csv": """
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_extendedprice) - 1 AS pos, l_extendedprice AS v FROM lineitem""",
     "vectors_round_trip": """
 SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS dim,
        CAST(unnest(embedding) AS DOUBLE) AS x

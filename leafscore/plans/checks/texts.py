@@ -15,7 +15,7 @@ BLOCK = 256
 
 
 def _docs(spark, sf):
-    return tables.spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 def _vocab(spark, sf):
@@ -67,7 +67,8 @@ def mlm_mask(spark, sf):
 def read_blocks(spark, sf):
     """Write the corpus as lines, read it back, and encode each line without padding."""
     path = fresh_path(spark, "corpus")
-    corpus = clean.build_corpus(_docs(spark, sf), table(spark, sf, "conversations"), col="text")
+    corpus = [_docs(spark, sf), table(spark, sf, "benchmark"), table(spark, sf, "conversations")]
+    corpus = clean.build_corpus(*corpus, col="text")
     tables.write_lines(corpus, "text", path)
     blocks = enc.read_blocks(spark, path, _vocab(spark, sf), BLOCK)
     return blocks.select(
@@ -143,7 +144,8 @@ SELECT doc_id, md5(string_agg(masked::VARCHAR, ',' ORDER BY pos)) AS masked,
 WITH {_VOCAB_SQL},
 corpus AS (
   SELECT row_number() OVER () AS k, replace(text, chr(10), '') AS line
-  FROM (SELECT text FROM documents UNION ALL SELECT text FROM conversations)),
+  FROM (SELECT text FROM documents UNION ALL SELECT text FROM benchmark
+        UNION ALL SELECT text FROM conversations)),
 kept AS (
   SELECT k, line, list_filter(regexp_split_to_array(line, '\s+'), lambda w: w <> '')[1:{BLOCK - 2}] AS words
   FROM corpus WHERE trim(line) <> ''),

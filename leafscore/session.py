@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,15 +31,18 @@ def local_session(cores: int | str = "*", app: str = "leafscore") -> SparkSessio
 def shared_folder(spark: SparkSession) -> str:
     """This application's own folder under `spark.checkpoint.dir`.
 
-    Where the setting is missing, a temporary folder serves local mode; a cluster must name one,
-    since files on one machine would be lost with it.
+    Where the setting is missing, a temporary folder serves local mode until the program ends; a
+    cluster must name one, since files on one machine would be lost with it.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="leafscore-"))
+        if named is None:
+            named = tempfile.mkdtemp(prefix="leafscore-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from leafscore.session import materialise
 
 # Texts hold newlines and quotes: quotes are doubled, as pandas writes them, and white space at the
 # ends of a field is part of the text. One file with embedded newlines cannot be split between tasks,
@@ -21,8 +24,21 @@ _OTHER_LINE_BREAKS = "[\u000b\u000c\u001c\u001d\u001e\u0085  ]"
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header. Declare the id as string in `schema` to keep it as written."""
-    return spark.read.schema(schema).options(**_CSV).option("multiLine", True).csv(path)
+    """The declared columns of CSV files with a header, found by name; further columns are dropped.
+
+    Declare the id as string in `schema` to keep it as written. A declared column that is missing, files
+    whose headers differ, and a value that does not parse are errors.
+    """
+    source = spark.read.options(**_CSV).option("multiLine", True)
+    header = source.csv(path).columns
+    declared = StructType.fromDDL(schema)
+    missing = [f.name for f in declared if header.count(f.name) != 1]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {header}")
+    named = {f.name: f for f in declared}
+    found = StructType([named.get(c, StructField(c, StringType())) for c in header])
+    rows = source.option("enforceSchema", False).option("mode", "FAILFAST").schema(found).csv(path)
+    return rows.select(declared.names)
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -30,19 +46,26 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.options(**_CSV).csv(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it comes in fewer pieces than there are cores.
+def in_file_order(rows: DataFrame, name: str) -> DataFrame:
+    """Number rows read from files from 0 in the order of paths and lines, however the files are cut up.
 
-    A small file of long texts is one piece, and all work on it would be one task. Large tables come
-    in many pieces and are left alone. Only for a table as read: a plan with shuffles would run here.
+    `rows` still has `_metadata`. The number is the row's place in its piece of a file and the rows of
+    the pieces in front, one sum over the pieces.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    piece = ["__path", "__at"]
+    slot = F.monotonically_increasing_id().alias("__slot")
+    source = [F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__at")]
+    kept = materialise(rows.select(*rows.columns, *source, slot), "lines")
+    pieces = kept.groupBy(*piece).agg(F.count(F.lit(1)).alias("__n"), F.min("__slot").alias("__first"))
+    before = Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select(*piece, "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    place = F.col("__start") + F.col("__slot") - F.col("__first")
+    return kept.join(starts, piece).select(place.alias(name), *rows.columns)
 
 
 def read_vector_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV without a header and with one column of numbers."""
-    return spark.read.schema("v double").option("header", False).csv(path)
+    """Rows (pos, v): CSV without a header and with one column of numbers, by position from 0."""
+    return in_file_order(spark.read.schema("v double").option("header", False).csv(path), "pos")
 
 
 def read_vectors(spark: SparkSession, path: str, schema: str = "id bigint, v array<double>") -> DataFrame:
@@ -61,10 +84,7 @@ def write_lines(df: DataFrame, col: str, path: str) -> None:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (line_id, line): the lines of a corpus that are not blank.
-
-    Ids follow from the file pieces alone, so a repeated task gives the same ones.
-    """
-    pieces = spark.read.text(path).select(F.explode(F.split("value", _OTHER_LINE_BREAKS)).alias("line"))
-    lines = pieces.filter(F.col("line").rlike(r"(?U)\S"))
-    return lines.select(F.monotonically_increasing_id().alias("line_id"), "line")
+    """Rows (line_id, line): the lines of a corpus that are not blank, numbered in file order."""
+    parts = F.explode(F.split("value", _OTHER_LINE_BREAKS)).alias("line")
+    lines = spark.read.text(path).select(parts, "_metadata").filter(F.col("line").rlike(r"(?U)\S"))
+    return in_file_order(lines, "line_id").select("line_id", "line")

@@ -26,8 +26,31 @@ def test_csv_keeps_quotes_newlines_spaces_and_ids(spark):
 
 def test_vector_csv_has_no_header(spark):
     path = fresh_path(spark, "v")
-    spark.createDataFrame([(1.5,), (2.5,)], "v double").write.csv(path)
-    assert sorted(r.v for r in tables.read_vector_csv(spark, path).collect()) == [1.5, 2.5]
+    spark.createDataFrame([(1.5,), (2.5,)], "v double").coalesce(1).write.csv(path)
+    assert sorted(map(tuple, tables.read_vector_csv(spark, path).collect())) == [(0, 1.5), (1, 2.5)]
+
+
+def test_positions_do_not_depend_on_how_files_are_cut(spark):
+    path = fresh_path(spark, "v")
+    spark.range(5000).selectExpr("id * 0.5D AS v").repartitionByRange(3, "v").sortWithinPartitions("v").write.csv(path)
+    want = [(i, i * 0.5) for i in range(5000)]
+    for size in ("1000", "7000", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert sorted(map(tuple, tables.read_vector_csv(spark, path).collect())) == want
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_columns_are_found_by_name(spark):
+    path = fresh_path(spark, "csv")
+    wide = spark.createDataFrame([(0.5, "u", "1", "x")], "target double, url string, id string, excerpt string")
+    tables.write_table(wide, path)
+    assert tables.read_table(spark, path, "id string, target double").collect() == [("1", 0.5)]
+    with pytest.raises(ValueError, match="standard_error"):
+        tables.read_table(spark, path, SCHEMA)
+    with pytest.raises(Exception, match="(?i)malformed|parse|cast"):
+        tables.read_table(spark, path, "id string, excerpt double").collect()
 
 
 def test_lines_skip_blanks_and_cut_at_other_breaks(spark):
@@ -69,9 +92,3 @@ def test_materialised_table_starts_a_new_plan(spark):
     assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
     assert shared_folder(spark) == shared_folder(spark)
 
-
-def test_small_scan_is_spread_and_large_scan_is_not(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    assert tables.spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 64)
-    assert tables.spread(many) is many
