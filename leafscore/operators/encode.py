@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,52 +16,31 @@ MAX_LEN = 248
 TYPED_MAX_LEN = 250
 IGNORED = -100
 
-# A vocabulary up to this size is sent to every task; a larger one is joined.
-MAX_SENT_TOKENS = 262_144
-
 
 def build_vocab(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
     """Rows (token, n, token_id), ids from 4 in order of falling count, then token; the first `size`."""
     pieces = df.select(F.explode(F.split(text, r"\s+")).alias("token")).filter(F.col("token") != "")
     counts = pieces.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ranked = global_rank(counts, [F.desc("n"), "token"], name="token_id")
     if size is not None:
-        ranked = ranked.filter(F.col("token_id") < size)
+        counts = counts.orderBy(F.desc("n"), "token").limit(size)  # a top-n: only these are numbered
+    ranked = global_rank(counts, [F.desc("n"), "token"], name="token_id")
     return ranked.withColumn("token_id", F.col("token_id") + FIRST_ID)
 
 
-def lookup(vocab: pa.Table):
-    """array of tokens -> array of ids, by one hash lookup per Arrow batch."""
-    known, ids = vocab["token"].combine_chunks(), vocab["token_id"].combine_chunks().cast(pa.int32())
-
-    @F.arrow_udf("array<int>")
-    def to_ids(lists: pa.Array) -> pa.Array:
-        words = lists.flatten().cast(known.type)
-        found = pc.fill_null(pc.take(ids, pc.index_in(words, value_set=known)), UNK)
-        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0))
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
-        return pa.ListArray.from_arrays(offsets, found, mask=lists.is_null())
-
-    return to_ids
-
-
 def token_ids(df: DataFrame, key: str, words: Column, vocab: DataFrame) -> DataFrame:
     """Rows (key, ids): the tokens' ids in text order, `UNK` for a token outside the vocabulary.
 
-    With a vocabulary of checked size the rows stay where they are. A larger vocabulary is joined
-    to the single tokens, and the tokens of a row are put together again by its key.
+    The single tokens are joined to the vocabulary (Spark sends it to the tasks where it is small) and
+    put together again by a number given to the row, so rows may share a key or have none.
     """
-    rows = df.select(key, words.alias("__words"))
-    known = vocab.select("token", "token_id").limit(MAX_SENT_TOKENS + 1).toArrow()
-    if known.num_rows <= MAX_SENT_TOKENS:
-        return rows.select(key, lookup(known)("__words").alias("ids"))
     present = F.col("__words").isNotNull().alias("__present")
-    single = rows.select(key, present, F.posexplode_outer("__words").alias("__pos", "token"))
+    rows = df.select(F.col(key).alias("__key"), words.alias("__words"), F.monotonically_increasing_id().alias("__row"))
+    single = rows.select("__row", "__key", present, F.posexplode_outer("__words").alias("__pos", "token"))
     found = single.join(vocab.select("token", F.col("token_id").cast("int")), "token", "left")
     pair = F.when(F.col("__pos").isNotNull(), F.struct("__pos", F.coalesce("token_id", F.lit(UNK)).alias("id")))
-    together = found.groupBy(key, "__present").agg(F.array_sort(F.collect_list(pair)).alias("__pairs"))
+    together = found.groupBy("__row", "__key", "__present").agg(F.array_sort(F.collect_list(pair)).alias("__pairs"))
     ids = F.when(F.col("__present"), F.transform("__pairs", lambda p: p["id"]))
-    return together.select(key, ids.alias("ids"))
+    return together.select(F.col("__key").alias(key), ids.alias("ids"))
 
 
 def encode(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 
 from leafscore.functions.vectors import as_matrix
 
-# Up to this many columns the moments are built-in aggregates: the sums still fit into generated code,
-# which ends at 100 fields. Wider rows go through a matrix product.
-BUILTIN_COLUMNS = 12
+# Numbers of all folds' matrices together that the driver may be sent: 4 GB as doubles.
+MAX_CELLS = 1 << 29
+# Blocks of a matrix row are added up in so many parts before they are added up as a whole.
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -41,30 +43,31 @@ class Moments:
         return self.merged([j for j in range(len(self.keys)) if j != i])
 
 
-def column_means(df: DataFrame, cols: Sequence[str]) -> list[float]:
-    """Means over all rows, to shift the columns by: products of shifted columns keep their digits."""
-    return [m or 0.0 for m in df.agg(*[F.avg(c) for c in cols]).first()]
+def complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows that have all of these columns. NaN is a value."""
+    return df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
 
 
 def moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
-    """Rows (fold, i, j, n, mean_i, mean_j, cov) for all pairs i <= j, in one aggregation of plain sums."""
+    """Rows (fold, i, j, n, mean_i, mean_j, cov) for all pairs i <= j over the complete rows, in one pass.
+
+    The built-in covariances are centred as they are added up, so large means cost no digits. There are
+    d * (d + 1) / 2 of them: for many columns put these in an array and take `vector_moments`.
+    """
     keys = [by] if by else []
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    shift = column_means(df, cols)
-    off = [F.col(c) - F.lit(m) for c, m in zip(cols, shift)]
-    sums = df.groupBy(*keys).agg(
+    sums = complete(df, cols).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(x).alias(f"s{i}") for i, x in enumerate(off)],
-        *[F.sum(off[i] * off[j]).alias(f"p{i}_{j}") for i, j in pairs],
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+        *[F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs],
     )
-    mean = [F.col(f"s{i}") / F.col("n") for i in range(len(cols))]
     cells = [
         F.struct(
             F.lit(i).alias("i"),
             F.lit(j).alias("j"),
-            (mean[i] + shift[i]).alias("mean_i"),
-            (mean[j] + shift[j]).alias("mean_j"),
-            (F.col(f"p{i}_{j}") / F.col("n") - mean[i] * mean[j]).alias("cov"),
+            F.col(f"m{i}").alias("mean_i"),
+            F.col(f"m{j}").alias("mean_j"),
+            F.col(f"c{i}_{j}").alias("cov"),
         )
         for i, j in pairs
     ]
@@ -74,11 +77,10 @@ def moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFr
 def gram(df: DataFrame, vec: str, width: int, by: str | None = None, shift=None) -> DataFrame:
     """Rows (fold, i, row): the product Z'Z of the rows z = (1, v - shift), summed over all rows.
 
-    Each task adds up one block per fold and sends it on; the blocks are added by matrix row. Tasks
-    are limited to two per core, so the blocks do not grow with the number of input files.
+    Each task adds up one block per fold and sends it on; the blocks are added by matrix row, in two
+    steps, so that no task adds up one row of every block there is.
     """
     shift = np.zeros(width) if shift is None else np.asarray(shift, float)
-    spark = df.sparkSession
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict = {}
@@ -107,30 +109,44 @@ def gram(df: DataFrame, vec: str, width: int, by: str | None = None, shift=None)
         return pd.DataFrame({"fold": rows["fold"][:1], "i": rows["i"][:1], "row": [total]})
 
     fold = F.col(by).cast("int") if by else F.lit(0)
+    df = df.filter(fold.isNotNull())  # a row of no fold belongs to no block
     schema = "fold int, i int, row array<double>"
     parts = df.select(fold.alias("fold"), F.col(vec).alias("v"))
-    parts = parts.coalesce(2 * spark.sparkContext.defaultParallelism).mapInArrow(blocks, schema)
-    return parts.groupBy("fold", "i").applyInPandas(add_up, schema)
+    parts = parts.mapInArrow(blocks, schema)
+    salted = parts.groupBy("fold", "i", F.spark_partition_id() % SALTS).applyInPandas(add_up, schema)
+    return salted.groupBy("fold", "i").applyInPandas(add_up, schema)
+
+
+def _held(folds: int, width: int) -> None:
+    """Matrices come to the driver; their number and size are those of the job's parameters, and bounded."""
+    if folds * (width + 1) ** 2 > MAX_CELLS:
+        raise ValueError(f"{folds} folds of {width} columns are more than {MAX_CELLS} numbers")
 
 
 def collect_gram(rows: DataFrame, width: int) -> dict[int, np.ndarray]:
-    """Z'Z per fold: K matrices of (width + 1) squared numbers."""
-    found = rows.toArrow().combine_chunks().sort_by([("fold", "ascending"), ("i", "ascending")])
+    """Z'Z per fold: K matrices of (width + 1) squared numbers, at most `MAX_CELLS` of them."""
+    most = MAX_CELLS // (width + 1) + 1  # rows of the matrices
+    found = rows.limit(most).toArrow().combine_chunks().sort_by([("fold", "ascending"), ("i", "ascending")])
     folds = found["fold"].to_numpy()
+    _held(-(-found.num_rows // (width + 1)), width)
     cells = found["row"].combine_chunks().flatten().to_numpy().reshape(-1, width + 1)
     return {int(k): cells[folds == k] for k in np.unique(folds)}
 
 
 def fold_moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> Moments:
-    """Moments of scalar columns per fold, held on the driver: K * d * d numbers."""
+    """Moments of scalar columns per fold over the complete rows, held on the driver: K * d * d numbers.
+
+    Rows of no fold belong to no moments.
+    """
     d = len(cols)
-    if d > BUILTIN_COLUMNS:
-        vector = F.array(*[F.col(c).cast("double") for c in cols]).alias("__v")
-        vectors = df.select(*([by] if by else []), vector)
-        return vector_moments(vectors, "__v", d, by, column_means(df, cols))
     found: dict = {}
-    for r in moments(df, cols, by).collect():
-        n, mean, cov = found.setdefault(r[by] if by else None, [r.n, np.zeros(d), np.zeros((d, d))])
+    rows = df.filter(F.col(by).isNotNull()) if by else df
+    for r in moments(rows, cols, by).limit(MAX_CELLS).toLocalIterator():
+        key = r[by] if by else None
+        if key not in found:
+            found[key] = [r.n, np.zeros(d), np.zeros((d, d))]
+            _held(len(found), d)
+        n, mean, cov = found[key]
         if n:
             mean[r.i], mean[r.j] = r.mean_i, r.mean_j
             cov[r.i, r.j] = cov[r.j, r.i] = r["cov"]

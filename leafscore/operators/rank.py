@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafscore.functions.text import seeded_hash
-from leafscore.session import shared_folder
+from leafscore.session import materialise
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in these bits
 
@@ -35,8 +35,8 @@ def global_rank(
     Everything stays lazy; choose buckets that one task can sort, and few enough for a running sum.
 
     Without `bucket` the rows are sorted over range partitions. Those cut at the full sort key, so
-    a value shared by many rows is split. The sorted rows are checkpointed, because the counts and
-    the numbers must come from the same partitions.
+    a value shared by many rows is split. The sorted rows are written as columns, because the counts
+    and the numbers must come from the same partitions; the counts then read one column.
     """
     if bucket is not None:
         # The join below would lose rows without a bucket or group, so they are an error.
@@ -50,9 +50,8 @@ def global_rank(
         number = (F.col("__start") + F.col("__place")).cast("bigint")
         return placed.select(*df.columns, number.alias(name))
 
-    shared_folder(df.sparkSession)
     slot = F.monotonically_increasing_id()
-    rows = df.orderBy(*by, *order).withColumn("__slot", slot).checkpoint()
+    rows = materialise(df.orderBy(*by, *order).withColumn("__slot", slot), "sorted")
     rows = rows.withColumn("__part", F.shiftright("__slot", _ROW_BITS))
     # One row per sort partition, so small by construction.
     starts = F.broadcast(_starts(rows.groupBy("__part").count(), (), "__part"))

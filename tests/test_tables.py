@@ -57,12 +57,13 @@ KEYS = [(1,), (2,), (3,)]
 PREDS = [(1, 0.5), (1, 0.6), (2, 0.7), (9, 0.8)]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_attach_repeats_and_keeps_keys_whether_hot_or_not(spark, hot_rows):
+def test_attach_repeats_and_keeps_keys(spark):
     keys = frame(spark, KEYS, "id int")
     preds = frame(spark, PREDS, "id int, pred double")
-    got = align.attach(keys, preds, hot_rows=hot_rows)
+    got = align.attach(keys, preds)
     assert values(got) == [(1, 0.5), (1, 0.6), (2, 0.7), (3, None)]
+    without = frame(spark, [(1,), (None,)], "id int")
+    assert values(align.attach(without, preds)) == [(1, 0.5), (1, 0.6), (None, None)]
 
 
 def test_align_refuses_repeated_keys(spark):

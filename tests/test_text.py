@@ -41,10 +41,21 @@ def test_vocabulary_order(spark):
     assert enc.build_vocab(docs(spark, ["b a b"]), "text", size=1).collect()[0].token == "b"
 
 
-@pytest.mark.parametrize("sent", [0, 1_000])
-def test_encoded_rows_have_the_full_length(spark, monkeypatch, sent):
-    """Whether the vocabulary is sent to the tasks or joined."""
-    monkeypatch.setattr(enc, "MAX_SENT_TOKENS", sent)
+@pytest.mark.parametrize("sent", ["-1", "10m"])
+def test_rows_that_share_a_key_or_have_none_stay_apart(spark, sent):
+    """Whether Spark sends the vocabulary to the tasks or not."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", sent)
+    try:
+        rows = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (None, "b")], "id int, text string")
+        found = enc.encode(rows, "id", "text", vocab(spark), None).collect()
+        assert sorted((r.id is None, r.input_ids) for r in found) == [
+            (False, [0, 4, 2]), (False, [0, 5, 2]), (True, [0, 4, 2]), (True, [0, 5, 2])
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_encoded_rows_have_the_full_length(spark):
     texts = ["b z a", "", "a " * 300, "d", None]
     rows = enc.encode(docs(spark, texts), "id", "text", vocab(spark), 8).collect()
     found = {r.id: (r.input_ids, r.attention_mask) for r in rows}
@@ -57,9 +68,7 @@ def test_encoded_rows_have_the_full_length(spark, monkeypatch, sent):
     }
 
 
-@pytest.mark.parametrize("sent", [0, 1_000])
-def test_typed_rows_join_lines_and_pad_with_zero(spark, monkeypatch, sent):
-    monkeypatch.setattr(enc, "MAX_SENT_TOKENS", sent)
+def test_typed_rows_join_lines_and_pad_with_zero(spark):
     row = enc.encode(docs(spark, ["a\nb c"]), "id", "text", vocab(spark), 6, pad=0, type_ids=True).first()
     assert row.input_ids == [0, 3, 6, 2, 0, 0]  # "ab" is not in the vocabulary
     assert row.attention_mask == [1, 1, 1, 1, 0, 0]
