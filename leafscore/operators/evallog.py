@@ -22,21 +22,23 @@ def running_best(log: DataFrame, block: int = 4096) -> DataFrame:
     """Add `previous_best`, `best` so far and whether the row `is_new_best`; steps are unique in a run.
 
     A long run is cut into blocks of steps: the best before a block is carried over from the blocks'
-    minima, so no task holds more than one block of rows.
+    minima, so no task holds more than one block of rows. Rows without run are a run of their own, rows
+    without step come first in theirs.
     """
     rows = log.withColumn("__block", F.floor(F.col("step") / block))
     lows = rows.groupBy("run", "__block").agg(F.min("value").alias("__low"))
     blocks = Window.partitionBy("run").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lows.select("run", "__block", F.min("__low").over(blocks).alias("__carried"))
+    carried = lows.select(F.col("run").alias("__run"), F.col("__block").alias("__of"), F.min("__low").over(blocks).alias("__carried"))
     steps = Window.partitionBy("run", "__block").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.min("value").over(steps)
-    out = rows.withColumn("__inside", inside).join(carried, ["run", "__block"])
+    same = F.col("run").eqNullSafe(F.col("__run")) & F.col("__block").eqNullSafe(F.col("__of"))
+    out = rows.withColumn("__inside", inside).join(carried, same)
     out = out.withColumn("previous_best", F.least("__carried", "__inside"))
     better = F.col("previous_best").isNull() | (F.col("value") < F.col("previous_best"))
     return (
         out.withColumn("best", F.least("previous_best", "value"))
         .withColumn("is_new_best", F.coalesce(better, F.lit(False)))
-        .drop("__block", "__carried", "__inside")
+        .drop("__block", "__carried", "__inside", "__run", "__of")
     )
 
 

@@ -17,55 +17,107 @@ from pyspark.sql import functions as F
 from leafscore.functions.text import seeded_hash
 
 
+# A prefix that holds a cut is refined until it has no more rows than this.
+NEAR_ROWS = 1 << 20
+_DIGITS = 32  # of the whole hash
+
+
+def _hashed(df: DataFrame, key: str, seed, stratum: Column) -> DataFrame:
+    """Rows (hash, stratum); a row without a key has no hash."""
+    return df.select(F.when(F.col(key).isNotNull(), seeded_hash(seed, key)).alias("hash"), stratum.alias("stratum"))
+
+
 def _prefix_counts(hashed: DataFrame, digits: int) -> pd.DataFrame:
     """Rows per stratum and hash prefix: at most strata * 16**digits numbers, whatever the table's size."""
     prefix = F.substring("hash", 1, digits).alias("prefix")
-    counts = hashed.groupBy("stratum", prefix).agg(F.count(F.lit(1)).alias("n")).toArrow()
-    return counts.to_pandas().sort_values(["stratum", "prefix"], ignore_index=True)
+    counts = hashed.groupBy("stratum", prefix).agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas()
+    if counts["prefix"].isna().any():
+        raise ValueError("a row without a key cannot be given a fold")
+    return counts.sort_values(["stratum", "prefix"], ignore_index=True)
 
 
-def _hashes_at(hashed: DataFrame, counts: pd.DataFrame, ranks: dict[int, list[int]], digits: int) -> dict[tuple, str]:
-    """(stratum, rank) -> the hash at that 0-based place in the stratum's hash order."""
+def _places(counts: pd.DataFrame, ranks: dict[int, list[int]]) -> list[tuple[int, str, int, int, int]]:
+    """(stratum, prefix, place in the prefix from 1, rank, rows of the prefix) of the wanted ranks."""
     wanted = []
     for stratum, part in counts.groupby("stratum"):
         ends = part["n"].cumsum().to_numpy()
         for rank in sorted({r for r in ranks[stratum] if r < ends[-1]}):
             i = int(np.searchsorted(ends, rank, side="right"))
-            place = rank - int(ends[i] - part["n"].iloc[i]) + 1
-            wanted.append((int(stratum), part["prefix"].iloc[i], place, rank))
+            n = int(part["n"].iloc[i])
+            wanted.append((int(stratum), part["prefix"].iloc[i], rank - int(ends[i] - n) + 1, rank, n))
+    return wanted
+
+
+def _near(hashed: DataFrame, wanted: list[tuple], digits: int) -> DataFrame:
+    """The rows of the wanted prefixes; at most K - 1 per stratum."""
+    held = hashed.sparkSession.createDataFrame(sorted({w[:2] for w in wanted}), "stratum int, prefix string")
+    rows = hashed.withColumn("prefix", F.substring("hash", 1, digits))
+    rows = rows.filter(F.col("prefix").isin(sorted({w[1] for w in wanted})))
+    return rows.join(F.broadcast(held), ["stratum", "prefix"], "left_semi")
+
+
+def _hashes_at(hashed: DataFrame, counts: pd.DataFrame, ranks: dict[int, list[int]], digits: int) -> dict[tuple, str]:
+    """(stratum, rank) -> the hash at that 0-based place in the stratum's hash order.
+
+    A hash that the row in front of the cut has as well would move the cut: a repeated key is an error there.
+    """
+    both = {s: sorted({r for cut in cuts for r in (cut - 1, cut) if r >= 0}) for s, cuts in ranks.items()}
+    wanted = _places(counts, both)
     if not wanted:
         return {}
-    # At most K - 1 rows per stratum.
-    cuts = hashed.sparkSession.createDataFrame(wanted, "stratum int, prefix string, place int, rank bigint")
-    prefix = F.substring("hash", 1, digits)
-    near = hashed.withColumn("prefix", prefix).filter(F.col("prefix").isin(sorted({w[1] for w in wanted})))
-    near = near.join(F.broadcast(cuts.select("stratum", "prefix")), ["stratum", "prefix"], "left_semi")
+    while max(w[4] for w in wanted) > NEAR_ROWS and digits < _DIGITS:
+        # Two digits more for the prefixes that hold a cut; ranks are counted anew inside them.
+        near = _near(hashed, wanted, digits)
+        finer = near.groupBy("stratum", "prefix", F.substring("hash", 1, digits + 2).alias("finer")).agg(F.count(F.lit(1)).alias("n"))
+        finer = finer.toArrow().to_pandas().sort_values(["stratum", "prefix", "finer"], ignore_index=True)
+        again = []
+        for (stratum, prefix), part in finer.groupby(["stratum", "prefix"]):
+            ends = part["n"].cumsum().to_numpy()
+            for _, _, place, rank, _ in (w for w in wanted if w[:2] == (stratum, prefix)):
+                i = int(np.searchsorted(ends, place - 1, side="right"))
+                n = int(part["n"].iloc[i])
+                again.append((int(stratum), part["finer"].iloc[i], place - int(ends[i] - n), rank, n))
+        wanted, digits = again, digits + 2
+    spark = hashed.sparkSession
+    cuts = spark.createDataFrame([w[:4] for w in wanted], "stratum int, prefix string, place int, rank bigint")
     place = F.row_number().over(Window.partitionBy("stratum", "prefix").orderBy("hash"))
-    found = near.withColumn("place", place).join(F.broadcast(cuts), ["stratum", "prefix", "place"])
-    return {(r.stratum, r.rank): r.hash for r in found.select("stratum", "rank", "hash").collect()}
+    found = _near(hashed, wanted, digits).withColumn("place", place).join(F.broadcast(cuts), ["stratum", "prefix", "place"])
+    at = {(r.stratum, r.rank): r.hash for r in found.select("stratum", "rank", "hash").collect()}
+    for stratum, cuts_of in ranks.items():
+        for cut in cuts_of:
+            if cut and (stratum, cut) in at and at[stratum, cut] == at[stratum, cut - 1]:
+                raise ValueError("a key repeats: rows with the same key cannot be told apart")
+    return {(s, r): at[s, r] for s, cuts_of in ranks.items() for r in cuts_of if (s, r) in at}
 
 
 def _runs_passed(digest: Column, starts: Iterable[Column]) -> Column:
-    """How many runs have begun at or before this hash; a run without a start never begins."""
-    passed = [F.coalesce(digest >= start, F.lit(False)).cast("int") for start in starts]
-    return sum(passed, F.lit(0))
+    """How many runs have begun at or before this hash; a run without a start never begins.
+
+    The hash is an array's only element, so it is computed once and not per start, in a filter too.
+    """
+    starts = list(starts)
+
+    def passed(value: Column) -> Column:
+        return sum([F.coalesce(value >= start, F.lit(False)).cast("int") for start in starts], F.lit(0))
+
+    return F.element_at(F.transform(F.array(digest), passed), 1)
 
 
 def kfold(df: DataFrame, key: str, k: int, seed, name: str = "fold") -> DataFrame:
     """Add a fold 0..k-1: sizes n // k, the first n % k folds get one row more.
 
-    The same for a seed whatever the partitioning. The key is unique.
+    The same for a seed whatever the partitioning. The key is unique: a row without key is an error, and
+    so is a key whose repeats a cut would part.
     """
-    digest = seeded_hash(seed, key)
-    hashed = df.select(digest.alias("hash"), F.lit(0).alias("stratum"))
+    hashed = _hashed(df, key, seed, F.lit(0))
     counts = _prefix_counts(hashed, 4)
     n = int(counts["n"].sum())
     if n < k:
         raise ValueError(f"cannot make {k} folds of {n} rows")
     first = [j * (n // k) + min(j, n % k) for j in range(1, k)]
     cuts = _hashes_at(hashed, counts, {0: first}, 4)
-    fold = _runs_passed(F.col("__hash"), [F.lit(cuts[0, r]) for r in first])
-    return df.withColumn("__hash", digest).withColumn(name, fold).drop("__hash")
+    fold = _runs_passed(seeded_hash(seed, key), [F.lit(cuts[0, r]) for r in first])
+    return df.withColumn(name, fold)
 
 
 def equal_width_bins(df: DataFrame, y: str, name: str = "bin") -> DataFrame:
@@ -88,8 +140,7 @@ def kfold_stratified(df: DataFrame, key: str, y: str, k: int, seed, name: str =
     each bin. Which rows of the bin they are is decided by hash order.
     """
     binned = equal_width_bins(df, y, "__bin")
-    digest = seeded_hash(seed, key)
-    hashed = binned.select(digest.alias("hash"), F.coalesce("__bin", F.lit(-1)).alias("stratum"))
+    hashed = _hashed(binned, key, seed, F.coalesce("__bin", F.lit(-1)))
     counts = _prefix_counts(hashed, 3)
     before, first = 0, {}
     for stratum, n in counts.groupby("stratum")["n"].sum().items():
@@ -106,7 +157,7 @@ def kfold_stratified(df: DataFrame, key: str, y: str, k: int, seed, name: str =
     names = [f"__start{j}" for j in range(1, k)]
     schema = ", ".join(["__stratum int", *[f"{c} string" for c in names]])
     starts = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-    keyed = binned.withColumn("__hash", digest).withColumn("__stratum", F.coalesce("__bin", F.lit(-1)))
-    fold = _runs_passed(F.col("__hash"), [F.col(c) for c in names])
+    keyed = binned.withColumn("__stratum", F.coalesce("__bin", F.lit(-1)))
+    fold = _runs_passed(seeded_hash(seed, key), [F.col(c) for c in names])
     dealt = keyed.join(starts, "__stratum", "left").withColumn(name, fold)
-    return dealt.drop("__stratum", "__hash", "__bin", *names)
+    return dealt.drop("__stratum", "__bin", *names)

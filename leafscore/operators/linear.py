@@ -115,15 +115,15 @@ def models_from(m: Moments, fit: Fit, family: str) -> Models:
 
 
 def fit_folds(df: DataFrame, xs: Sequence[str], y: str, fit: Fit, fold: str = "fold", family: str = "ridge") -> Models:
-    """One model per fold, fitted on the rows outside it."""
-    return models_from(fold_moments(df.dropna(subset=[y, *xs]), [*xs, y], fold), fit, family)
+    """One model per fold, fitted on the complete rows outside it that have a fold."""
+    return models_from(fold_moments(df, [*xs, y], fold), fit, family)
 
 
 def fit_vector_folds(df: DataFrame, vec: str, width: int, y: str, fit: Fit, fold: str = "fold", family: str = "ridge"):
     """As `fit_folds`, for a vector column."""
     target = F.array(F.col(y).cast("double"))
     joined = df.select(fold, F.concat(F.col(vec).cast("array<double>"), target).alias("__v"))
-    joined = joined.filter(F.col("__v").isNotNull() & F.col("__v")[width].isNotNull())
+    joined = joined.filter(F.col("__v").isNotNull() & F.col("__v")[width].isNotNull() & F.col(fold).isNotNull())
     middle = vector_mean(joined, [], "__v", width + 1).first()
     shift = middle["vec"] if middle else None
     return models_from(vector_moments(joined, "__v", width + 1, fold, shift), fit, family)

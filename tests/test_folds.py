@@ -32,6 +32,29 @@ def test_kfold_moves_no_rows(spark):
     assert "Exchange" not in folded._jdf.queryExecution().executedPlan().toString()
 
 
+def test_kfold_refuses_rows_it_cannot_tell_apart(spark):
+    holed = spark.range(100).withColumn("id", F.when(F.col("id") >= 60, F.col("id")))
+    with pytest.raises(ValueError, match="without a key"):
+        folds.kfold(holed, "id", 4, 1)
+    with pytest.raises(ValueError, match="repeats"):
+        folds.kfold(spark.range(100).withColumn("id", F.col("id") % 3), "id", 4, 1)
+
+
+def test_kfold_refines_prefixes_that_hold_many_rows(spark, monkeypatch):
+    ids = spark.range(3000)
+    want = fold_map(folds.kfold(ids, "id", 7, 1))
+    monkeypatch.setattr(folds, "NEAR_ROWS", 1)
+    assert fold_map(folds.kfold(ids, "id", 7, 1)) == want
+
+
+def test_a_filter_on_the_fold_computes_one_hash(spark):
+    from leafscore.operators.clean import split_fold
+
+    seen, _ = split_fold(folds.kfold(spark.range(1000), "id", 50, 1), 3)
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5") <= 2
+
+
 def test_kfold_needs_a_row_per_fold(spark):
     with pytest.raises(ValueError):
         folds.kfold(spark.range(4), "id", 5, 1)
