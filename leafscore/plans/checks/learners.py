@@ -128,25 +128,26 @@ def _order_vectors(spark, sf):
     return lines.agg(F.array(*sums).alias("v"))
 
 
-def stack_run(spark, sf, folds_used: int = 5, learners=stacking.LEARNERS):
-    """The whole stack on orders: pending ones are unseen, the others labelled."""
+def stack_run(spark, sf, learners=stacking.LEARNERS):
+    """The whole stack on orders: pending ones are unseen, the others labelled.
+
+    A pending order without lines has no features, so its prediction is missing.
+    """
     pending = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))
     # Saved prediction and feature vectors, as the models' own runs would leave them.
     truth = materialise(oof_fit(spark, sf), "oof")
     preds = materialise(unpivot(truth, MODELS), "preds")
     vecs = materialise(_order_vectors(spark, sf), "vecs")
     known = truth.select("id", "y").join(pending, "id", "left_anti")
-    with_lines = truth.select("id").join(pending, "id", "left_semi")
     return stacking.run_stack(
         truth=known,
         train_preds=preds.join(pending, "id", "left_anti"),
         train_vecs=vecs.join(pending, "id", "left_anti"),
-        template=with_lines.withColumn("target", F.lit(0.0)),
+        template=pending.withColumn("target", F.lit(0.0)),
         test_preds=preds.join(pending, "id", "left_semi"),
         test_vecs=vecs.join(pending, "id", "left_semi"),
         models=MODELS,
         width=4,
-        folds=folds_used,
         learners=learners,
     )
 
@@ -161,7 +162,7 @@ def run_stack_scores(spark, sf):
 
 def run_stack_linear(spark, sf):
     """Fifty folds, linear learners only: one pass over the rows for all fits of a learner."""
-    return stack_run(spark, sf, stacking.FOLDS, ["ard", "ridge"]).submission
+    return stack_run(spark, sf, ["ard", "ridge"]).submission
 
 
 QUERIES = {

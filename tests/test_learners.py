@@ -84,11 +84,23 @@ def test_ard_drops_a_useless_feature(spark):
     assert np.allclose(models.coef[:, 0], 2.0, atol=1e-6) and (models.coef[:, 2] == 0).all()
 
 
-def test_wide_features_take_the_vector_path(spark, monkeypatch):
+def test_rows_of_no_fold_are_not_fitted_on_and_have_no_score(spark):
     pdf, df = table(spark)
-    monkeypatch.setattr("leafscore.operators.moments.BUILTIN_COLUMNS", 0)
-    got = linear.ridge_oof(df, XS, "y").toPandas().sort_values("id")["pred"]
-    assert np.allclose(got, oof_numpy(pdf, lambda x, y: ridge_numpy(x, y, 10.0)))
+    odd = df.limit(1).withColumns({"id": F.lit(10_000), "fold": F.lit(None).cast("int"), "y": F.lit(1e6)})
+    got = linear.ridge_oof(df.unionByName(odd), XS, "y").toPandas().sort_values("id")["pred"]
+    assert np.isnan(got.iloc[-1])
+    assert np.allclose(got.iloc[:-1], oof_numpy(pdf, lambda x, y: ridge_numpy(x, y, 10.0)))
+    vecs = df.unionByName(odd).select("id", "fold", "y", F.array(*XS).alias("v"))
+    assert len(linear.fit_vector_folds(vecs, "v", 3, "y", linear.ridge_fit()).names) == 5
+
+
+def test_rows_without_a_feature_are_left_out_of_the_moments(spark):
+    pdf, df = table(spark)
+    holed = df.withColumn("a", F.when(F.col("id") % 7 != 0, F.col("a")))
+    whole = pdf[pdf["id"] % 7 != 0]
+    m = fold_moments(holed, [*XS, "y"])
+    assert m.n[0] == len(whole)
+    assert np.allclose(m.cov[0], np.cov(whole[[*XS, "y"]].to_numpy().T, bias=True))
 
 
 def test_vector_column_gives_the_same_predictions(spark):
@@ -136,6 +148,53 @@ def test_trees_predict_every_row_once_and_beat_the_mean(spark):
     assert np.sqrt(((got["pred"].to_numpy() - pdf["y"]) ** 2).mean()) < 0.6 * pdf["y"].std()
 
 
+def test_trees_keep_every_row(spark):
+    _, df = table(spark, 60)
+    odd = [F.when(F.col("id") == 1, None).otherwise(F.col("fold")), F.when(F.col("id") == 2, None).otherwise(F.col("a"))]
+    holed = df.withColumns({"fold": odd[0], "a": odd[1]})
+    forests = trees.fit_trees(holed, XS, "y", 5, trees=3, depth=3)
+    got = trees.score_trees_oof(holed, XS, forests).toPandas().set_index("id")["pred"]
+    assert len(got) == 60 and set(got.index[got.isna()]) == {1, 2}
+    unseen = trees.score_trees_unseen(holed, XS, forests).toPandas().set_index("id")["pred"]
+    assert len(unseen) == 60 and set(unseen.index[unseen.isna()]) == {2}
+
+
+def test_trees_equal_a_tree_grown_row_by_row(spark):
+    pdf, df = table(spark, 80)
+    depth, count = 4, 3
+    forests = trees.fit_trees(df.repartition(5), XS, "y", 5, trees=count, depth=depth, seed=3)
+    x, y, fold = pdf[XS].to_numpy(), pdf["y"].to_numpy(), pdf["fold"].to_numpy()
+
+    def grow(k, t, node, rows, low, high, level):
+        value[node] = y[rows].mean()
+        if level == depth:
+            return
+        parts = (np.array([t]), np.array([node]), np.arange(3))
+        limits = low + trees._draw(6, *parts) * (high - low)
+        tried = trees._draw(7, *parts).argsort().argsort() < 2
+        best = None
+        for f in np.flatnonzero(tried):
+            right = x[rows, f] > limits[f]
+            if right.all() or not right.any():
+                continue
+            error = sum(((y[rows][s] - y[rows][s].mean()) ** 2).sum() for s in (right, ~right))
+            if best is None or error < best[0] - 1e-9:
+                best = error, f, right
+        if best is None or y[rows].var() < 1e-12:
+            return
+        _, f, right = best
+        ends = high.copy(), low.copy()
+        ends[0][f] = ends[1][f] = limits[f]
+        grow(k, t, 2 * node + 1, rows[~right], low, ends[0], level + 1)
+        grow(k, t, 2 * node + 2, rows[right], ends[1], high, level + 1)
+
+    for k in range(5):
+        for t in range(count):
+            value = np.zeros(2 ** (depth + 1) - 1)
+            grow(k, t, 0, np.flatnonzero(fold != k), x.min(axis=0), x.max(axis=0), 0)
+            assert np.allclose(forests.value[k * count + t], value)
+
+
 def test_stack_has_all_learners_and_blends_them(spark):
     pdf, df = table(spark, 150)
     unseen = df.select("id", *XS).filter("id < 20")
