@@ -15,9 +15,10 @@ Work on groups of any size:
 * Each bucket pairs its members with its lowest and its highest member only, which is linear. Verified
   pairs are links; components of links are the classes.
 * Members that are not in the class of their bucket's lowest member are compared with the bucket's members
-  of other classes as well, but for pairs that cannot be similar: the alignment distance
-  n_a + n_b - 2m is a metric, so the distances to the lowest member bound it from below. No pair that
-  could join two classes is left out.
+  of other classes as well, but for pairs that cannot be similar. The alignment distance n_a + n_b - 2m is
+  a metric, so the distances to the lowest member bound it from below; so does the number of bits in which
+  two parity bitmaps of the elements differ, since each of these stands for an element that one text alone
+  has. No pair that could join two classes is left out, and few others are aligned.
 """
 
 from __future__ import annotations
@@ -48,7 +49,10 @@ _FOLDED = np.zeros(256, np.uint8)
 for _low, _high, _shift in ((0x30, 0x39, 0), (0x41, 0x5A, 32), (0x61, 0x7A, 0), (0x80, 0xFF, 0)):
     _FOLDED[_low : _high + 1] = np.arange(_low, _high + 1) + _shift
 
-_SKETCH = "doc_id long, s1 long, s2 long, n int, keys array<long>"
+# Numbers of 64 bits in the parity bitmap of a text's elements.
+BITMAP = 32
+
+_SKETCH = "doc_id long, s1 long, s2 long, n int, keys array<long>, bits array<long>"
 
 
 def folded_words(batch: pa.RecordBatch, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +90,15 @@ def sketch_keys(elements: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parity_bitmap(elements: np.ndarray) -> np.ndarray:
+    """For each of its bits, whether an odd number of elements falls on it."""
+    odd = np.bincount((elements & np.uint64(64 * BITMAP - 1)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, s1, s2, n, keys): 128 bits of the word sequence, its number of shingles, bucket keys.
+    """Rows (doc_id, s1, s2, n, keys, bits): 128 bits of the word sequence, its number of shingles, bucket
+    keys and parity bitmap.
 
     A text without words has the hash of its bytes and no keys.
     """
@@ -107,7 +118,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                 at = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys)))
                 n = np.array([len(e) for e in elements], np.int32)
-                yield batch_from([piece.column("doc_id"), s1.view(np.int64), s2.view(np.int64), n, lists], _SKETCH)
+                ends = pa.array(np.arange(len(n) + 1, dtype=np.int32) * BITMAP)
+                bits = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([parity_bitmap(e) for e in elements])))
+                yield batch_from([piece.column("doc_id"), s1.view(np.int64), s2.view(np.int64), n, lists, bits], _SKETCH)
 
     rows = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     return written(rows.select(F.col("doc_id").cast("long"), "text").mapInArrow(of_texts, _SKETCH), "sketches")
@@ -158,11 +171,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Rows (a, b, d, similar) for distinct pairs of ids, by alignment of their texts."""
     pairs = written(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # Texts are joined by sorted shuffles whatever their number: what is moved then grows with them.
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().hint("merge")
     texts = written(docs.select(F.col("doc_id").cast("long"), "text").filter("text IS NOT NULL").join(ids, "doc_id", "left_semi"), "texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return written(pairs.join(left, "a").join(right, "b").mapInArrow(_verify, _PAIRS), "verified")
+    return written(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").mapInArrow(_verify, _PAIRS), "verified")
 
 
 def _limit(n: Column) -> Column:
@@ -179,9 +193,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     columns are ignored; an empty table gives an empty result.
     """
     sketched = sketches(docs)
-    lowest = F.min(F.struct("doc_id", "n", "keys")).alias("low")
+    lowest = F.min(F.struct("doc_id", "n", "keys", "bits")).alias("low")
     nodes = sketched.groupBy("s1", "s2").agg(lowest).select("s1", "s2", "low.*")
-    nodes = written(nodes.select("s1", "s2", F.col("doc_id").alias("rep"), "n", "keys"), "nodes")
+    nodes = written(nodes.select("s1", "s2", F.col("doc_id").alias("rep"), "n", "keys", "bits"), "nodes")
     members = nodes.select(F.explode("keys").alias("key"), "rep", "n")
 
     ends = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("low"), F.max(F.struct("rep", "n")).alias("high"))
@@ -195,7 +209,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = compared.filter("similar").select("a", "b")
     roots = components(links)
 
-    links = links.unionAll(_across_classes(starred, roots, compared, docs))
+    links = links.unionAll(_across_classes(starred, nodes, roots, compared, docs))
     roots = components(links)
     classes = nodes.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
     classes = classes.select("s1", "s2", F.coalesce("root", "rep").alias("class"))
@@ -204,7 +218,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(found, "doc_id", "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
 
 
-def _across_classes(starred: DataFrame, roots: DataFrame, compared: DataFrame, docs: DataFrame) -> DataFrame:
+def _across_classes(starred: DataFrame, nodes: DataFrame, roots: DataFrame, compared: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) between members of a bucket that its lowest member has not brought into one class."""
     of_rep = roots.select(F.col("id").alias("rep"), "root")
     of_low = roots.select(F.col("id").alias("low_rep"), F.col("root").alias("low_root"))
@@ -225,10 +239,14 @@ def _across_classes(starred: DataFrame, roots: DataFrame, compared: DataFrame, d
     )
     rows = written(rows, "members")
     apart = rows.filter(F.col("class") != F.col("low_class"))
-    x, y = apart.alias("x"), rows.alias("y")
+    near = rows.join(apart.select("key").distinct(), "key", "left_semi")
+    bits = nodes.select("rep", *[F.col("bits")[i].alias(f"b{i}") for i in range(BITMAP)])
+    near = written(near.join(bits, "rep"), "near")
+    x, y = near.filter(F.col("class") != F.col("low_class")).alias("x"), near.alias("y")
+    differ = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(BITMAP)), F.lit(0))
     far = F.greatest(F.col("x.least") - F.col("y.most"), F.col("y.least") - F.col("x.most"), F.abs(F.col("x.n") - F.col("y.n")))
     possible = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") != F.col("y.class"))
-    possible &= far <= _limit(F.col("x.n") + F.col("y.n"))
+    possible &= (far <= _limit(F.col("x.n") + F.col("y.n"))) & (differ <= _limit(F.col("x.n") + F.col("y.n")))
     pairs = x.join(y, possible).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     return verified(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), docs).filter("similar").select("a", "b")
 
