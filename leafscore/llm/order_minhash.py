@@ -209,17 +209,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = compared.filter("similar").select("a", "b")
     roots = components(links)
 
-    links = links.unionAll(_across_classes(starred, nodes, roots, compared, docs))
-    roots = components(links)
+    # Further links tie whole classes together.
+    across = _across_classes(starred, nodes, roots, compared, docs)
+    merged = components(across).select(F.col("id").alias("root"), F.col("root").alias("final"))
     classes = nodes.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-    classes = classes.select("s1", "s2", F.coalesce("root", "rep").alias("class"))
+    classes = classes.select("s1", "s2", F.coalesce("root", "rep").alias("root")).join(merged, "root", "left")
+    classes = classes.select("s1", "s2", F.coalesce("final", "root").alias("class"))
     found = sketched.join(classes, ["s1", "s2"]).groupBy("doc_id").agg(F.min("class").alias("class"))
     rows = docs.select(F.col("doc_id").cast("long"))
     return rows.join(found, "doc_id", "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
 
 
 def _across_classes(starred: DataFrame, nodes: DataFrame, roots: DataFrame, compared: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) between members of a bucket that its lowest member has not brought into one class."""
+    """Links (a, b) between the classes of members of a bucket that its lowest member has not brought into
+    one class."""
     of_rep = roots.select(F.col("id").alias("rep"), "root")
     of_low = roots.select(F.col("id").alias("low_rep"), F.col("root").alias("low_root"))
     seen = compared.groupBy("a", "b").agg(F.min("d").alias("d")).select(F.col("a").alias("low_rep"), F.col("b").alias("rep"), "d")
@@ -248,7 +251,11 @@ def _across_classes(starred: DataFrame, nodes: DataFrame, roots: DataFrame, comp
     possible = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") != F.col("y.class"))
     possible &= (far <= _limit(F.col("x.n") + F.col("y.n"))) & (differ <= _limit(F.col("x.n") + F.col("y.n")))
     pairs = x.join(y, possible).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    return verified(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), docs).filter("similar").select("a", "b")
+    found = verified(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), docs).filter("similar")
+    for side in ("a", "b"):
+        of = roots.select(F.col("id").alias(side), F.col("root").alias(f"root_{side}"))
+        found = found.join(of, side, "left")
+    return found.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
