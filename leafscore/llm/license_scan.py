@@ -8,8 +8,8 @@ probability 1 - 0.45**10 > 0.9996; an unchanged notice lies above 0.75. What the
 by the exact share of the template's shingles that the window holds.
 
 Before windows are cut, texts go in which no template can be contained: every shingle of a template holds
-one of a few words (`telling_words`), so a text without any of them, even inside a longer word, holds no
-shingle of any template. The templates are a parameter of a job; what is made of them is bounded by it.
+one of a few long words or pairs of words (`clues`), so a text without any of them holds no shingle of any
+template. The templates are a parameter of a job; what is made of them is bounded by it.
 """
 
 from __future__ import annotations
@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafscore.llm.store import written
-from leafscore.llm.winnowing import _bound, split_words
+from leafscore.llm.winnowing import _BETWEEN, _bound, split_words
 
 SHINGLE = 5
 CONTAINED = 0.8
 BANDS = 10
+# Letters of a word that is a clue by itself.
+TELLING = 7
 
 # Customary license notices.
 TEMPLATES = {
@@ -55,61 +57,89 @@ def stride_of(n: int) -> int:
     return max(1, n // 4)
 
 
-def telling_words(templates: dict[str, str]) -> list[str]:
-    """A few words, long ones first, of which every shingle of every template holds at least one."""
-    left = [set(s.split()) for text in templates.values() for s in shingles_of(template_words(text))]
+def clues(templates: dict[str, str]) -> list[str]:
+    """A few words of at least `TELLING` letters, or else pairs of neighbouring words, of which every shingle
+    of every template holds at least one."""
+    left = []
+    for text in templates.values():
+        for s in shingles_of(template_words(text)):
+            words = s.split()
+            left.append({w for w in words if len(w) >= TELLING} or {f"{a} {b}" for a, b in zip(words, words[1:])} or {s})
     chosen = []
     while left:
-        words = sorted({w for s in left for w in s})
-        best = max(words, key=lambda w: (len(w) >= 6, sum(w in s for s in left), len(w)))
+        best = max(sorted(set().union(*left)), key=lambda c: (sum(c in s for s in left), len(c)))
         chosen.append(best)
         left = [s for s in left if best not in s]
     return chosen
 
 
+def _has_clue(text: Column, templates: dict[str, str]) -> Column:
+    """Does the text hold any clue? A word counts inside longer words, too; words of a pair may have anything
+    between them that is no part of a word."""
+    found = clues(templates)
+    checks = [F.contains(text, F.lit(c)) for c in found if " " not in c]
+    pairs = [_BETWEEN.join(c.split()) for c in found if " " in c]
+    if pairs:
+        checks.append(text.rlike("|".join(pairs)))
+    return reduce(lambda a, b: a | b, checks, F.lit(False))
+
+
 def _shingles(words: Column) -> Column:
-    """The distinct shingles of a window; a window of fewer words is one shingle."""
+    """The shingles of some words in order; fewer words than a shingle are one."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - SHINGLE + 1))
+    return F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i, SHINGLE)))
+
+
+def _hashes(words: Column) -> Column:
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - SHINGLE + 1))
-    return F.array_distinct(F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i, SHINGLE))))
+    return F.transform(starts, lambda i: F.xxhash64(F.concat_ws(" ", F.slice(words, i, SHINGLE))))
 
 
-def _bands(shingles: Column) -> Column:
-    """(band, lowest hash) structs of a set of shingles."""
-    one = lambda b: F.struct(F.lit(b).alias("band"), F.array_min(F.transform(shingles, lambda s: F.xxhash64(F.lit(b), s))).alias("low"))
+# One hash function per band: the shingle's hash with some bits turned over.
+_TURNED = [((b + 1) * 0x9E3779B97F4A7C15 % (1 << 64)) - (1 << 63) for b in range(BANDS)]
+
+
+def _bands(hashes: Column) -> Column:
+    """(band, lowest hash) structs of a window's shingle hashes."""
+    one = lambda b: F.struct(F.lit(b).alias("band"), F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(_TURNED[b])))).alias("low"))
     return F.array(*[one(b) for b in range(BANDS)])
 
 
 def _windows(words: Column, sizes: list[int]) -> Column:
-    """(n, start, words) structs of all windows for templates of n words, `start` from 0."""
+    """(n, start, words, hashes) structs of all windows for templates of n words, `start` from 0."""
 
-    def of(words: Column) -> Column:
+    def of(words: Column, hashes: Column) -> Column:
         def for_size(n: int) -> Column:
-            stride = stride_of(n)
-            starts = F.sequence(F.lit(0), F.size(words) - 1, F.lit(stride))
-            cut = lambda i: F.struct(F.lit(n).alias("n"), i.alias("start"), F.slice(words, i + 1, n + stride - 1).alias("words"))
+            length = n + stride_of(n) - 1
+            starts = F.sequence(F.lit(0), F.size(words) - 1, F.lit(stride_of(n)))
+
+            def cut(i: Column) -> Column:
+                # A window of fewer words than a shingle holds the shingle at its start only where the text ends.
+                held = F.slice(hashes, F.least(i + 1, F.size(hashes)), max(1, length - SHINGLE + 1))
+                return F.struct(F.lit(n).alias("n"), i.alias("start"), F.slice(words, i + 1, length).alias("words"), held.alias("hashes"))
+
             return F.transform(starts, cut)
 
         return F.when(F.size(words) > 0, F.concat(*[for_size(n) for n in sizes]))
 
-    return _bound(words, of)
+    return _bound(words, lambda w: _bound(_hashes(w), lambda h: of(w, h)))
 
 
 def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """Rows (doc_id, __row, license, start, contained): windows that hold a template, `start` in words."""
     spark = docs.sparkSession
-    listed = [(name, len(w), shingles_of(w)) for name, text in templates.items() if (w := template_words(text))]
-    wanted = spark.createDataFrame(listed, "license string, n int, shingles array<string>")
-    sizes = sorted({n for _, n, _ in listed})
-    sketched = wanted.select("license", "n", "shingles", F.inline(_bands(F.col("shingles"))))
+    listed = [(name, len(w), w, shingles_of(w)) for name, text in templates.items() if (w := template_words(text))]
+    wanted = spark.createDataFrame(listed, "license string, n int, words array<string>, shingles array<string>")
+    sizes = sorted({n for _, n, _, _ in listed})
+    sketched = wanted.select("license", "n", "shingles", _hashes(F.col("words")).alias("hashes"))
+    sketched = sketched.select("license", "n", "shingles", F.inline(_bands(F.col("hashes"))))
 
     text = F.lower("text")
-    telling = reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in telling_words(templates)], F.lit(False))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("__row")).filter(telling)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("__row")).filter(_has_clue(text, templates))
     cut = rows.select("doc_id", "__row", F.inline(_windows(split_words(text), sizes)))
-    windows = cut.select("doc_id", "__row", "n", "start", _shingles(F.col("words")).alias("held"))
-    banded = windows.select("doc_id", "__row", "n", "start", "held", F.inline(_bands(F.col("held"))))
+    banded = cut.select("doc_id", "__row", "n", "start", "words", F.inline(_bands(F.col("hashes"))))
     retrieved = banded.join(F.broadcast(sketched), ["n", "band", "low"])  # as large as the parameter
-    share = F.size(F.array_intersect("held", "shingles")) / F.size("shingles")
+    share = F.size(F.array_intersect(_shingles(F.col("words")), "shingles")) / F.size("shingles")
     found = retrieved.select("doc_id", "__row", "license", "start", share.alias("contained"))
     return found.filter(F.col("contained") >= CONTAINED).distinct()
 
