@@ -5,10 +5,12 @@ pre-tokenised independently. A chunk's cuts are those of the whole text from the
 meet: the pattern looks only ahead, so two scans that cut at the same place agree from there on. A chunk
 that begins inside a pre-token may cut wrongly at first, and one that ends inside of one at last; so a place
 counts where both the earlier chunk, not too close to its end, and the later one have a cut. The text
-between two such places is a piece, which is encoded by itself; where the overlap holds no common cut (a
-very long run of letters), chunks are joined to one piece. Decoding joins the bytes of a text's ids.
+between two such places is a piece, which is encoded by itself. It lies inside the earlier chunk, so texts
+stay where they are and only cuts in the overlaps are brought together. Where an overlap holds no common cut
+(a very long run of letters), the chunks from there on are joined to one piece. Decoding joins the bytes of
+a text's ids.
 
-Pieces of one long text are spread over tasks; its ids come together again by document, since the digest of
+Chunks of one long text are spread over tasks; its ids come together again by document, since the digest of
 a text's ids needs them in order. A text of one chunk is the case without anything to stitch.
 """
 
@@ -32,7 +34,8 @@ CHUNK, OVERLAP = 16384, 1024
 _GUARD = 8
 
 _RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-_CUTS = "row long, chunk int, cuts binary"
+_CUTS = "row long, chunk int, size int, head binary, tail binary"
+_PLACES = "row long, chunk int, piece int, begin int, end int, alone boolean"
 _IDS = "row long, piece int, doc_id long, ids binary"
 
 
@@ -52,28 +55,32 @@ def cuts(text: str) -> np.ndarray:
     return pretoken_starts(codes, np.zeros(1 if len(codes) else 0, np.int64))
 
 
-def meeting(earlier: np.ndarray, later: np.ndarray, chunk: int, size: int) -> int | None:
-    """The first common cut of two neighbouring chunks, in characters of the later one; `size` is the
-    earlier chunk's length with its overlap."""
-    trusted = earlier[(earlier >= chunk) & (earlier < size - _GUARD)] - chunk
-    common = trusted[np.isin(trusted, later[later > 0])]
-    return int(common[0]) if len(common) else None
+def overlaps(text: str, chunk: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's cuts in the overlap with the chunk in front of it and, as far as they can be trusted, in
+    that with the next one, in characters of the next one."""
+    found = cuts(text)
+    tail = found[(found >= chunk) & (found < chunk + overlap - _GUARD)] - chunk
+    return found[(found > 0) & (found < overlap)], tail
 
 
 def chunked(text: str, chunk: int, overlap: int) -> list[str]:
     return [text[i : i + chunk + overlap] for i in range(0, max(1, len(text) - overlap), chunk)]
 
 
-def stitched(text: str, found: list[np.ndarray], chunk: int, overlap: int) -> list[str]:
-    """The pieces of a text from the cuts of its chunks."""
-    places = [0]
-    for i in range(1, len(found)):
-        # The earlier chunk's cuts count from its own meeting on.
-        known = found[i - 1][found[i - 1] + (i - 1) * chunk >= places[-1]]
-        met = meeting(known, found[i], chunk, chunk + overlap) if places[-1] >= (i - 1) * chunk else None
-        if met is not None:
-            places.append(met + i * chunk)
-    return [text[a:b] for a, b in zip(places, [*places[1:], len(text)])]
+def places(found: list[tuple[int, np.ndarray, np.ndarray]], chunk: int) -> list[tuple[int, int, int, bool]]:
+    """(piece, begin, end, alone) of each chunk of a text, from its (length, head cuts, tail cuts): the part
+    of the chunk that belongs to a piece, and whether it is the whole piece."""
+    met = [0]
+    for (_, _, tail), (_, head, _) in zip(found, found[1:]):
+        common = np.intersect1d(tail, head) if met[-1] is not None else ()
+        met.append(int(common[0]) if len(common) else None)
+    last = len(found) - 1
+    joined = met.index(None) - 1 if None in met else len(found)  # from this chunk on one piece
+    out = []
+    for i, (size, _, _) in enumerate(found):
+        end = size if i == last else chunk if i >= joined else chunk + met[i + 1]
+        out.append((min(i, joined), met[i] or 0, end, i < joined))
+    return out
 
 
 def encoded(docs: DataFrame, ranks: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -102,20 +109,26 @@ def encoded(docs: DataFrame, ranks: str, chunk: int = CHUNK, overlap: int = OVER
 
 def _encoded_long(rows: DataFrame, ranks: str, chunk: int, overlap: int) -> DataFrame:
     partitions = shuffle_partitions(rows.sparkSession)
-    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "long")  # ids stand in the table
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.char_length("text") - overlap - 1), F.lit(chunk))
+    part = F.substring(F.col("text"), F.col("at") + 1, F.lit(chunk + overlap)).alias("text")
+    chunks = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text", F.posexplode(starts).alias("chunk", "at"))
+    chunks = chunks.select("row", "doc_id", "chunk", part).repartition(partitions, "row", "chunk")
+    chunks = written(chunks, "chunks")  # the rows' numbers stand in the table
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(r["row"], r["chunk"], cuts(r["text"]).astype(np.int32).tobytes()) for r in batch.to_pylist()]
+            found = []
+            for r in batch.to_pylist():
+                sides = [x.astype(np.int32).tobytes() for x in overlaps(r["text"], chunk, overlap)]
+                found.append((r["row"], r["chunk"], len(r["text"]), *sides))
             if found:
                 yield batch_of(found, _CUTS)
 
     def stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                found = [np.frombuffer(c["cuts"], np.int32) for c in sorted(r["found"], key=lambda c: c["chunk"])]
-                parts = stitched(r["text"], found, chunk, overlap)
-                yield batch_of([(r["row"], i, r["doc_id"], p) for i, p in enumerate(parts)], "row long, piece int, doc_id long, text string")
+                found = [(c["size"], np.frombuffer(c["head"], np.int32), np.frombuffer(c["tail"], np.int32)) for c in r["found"]]
+                yield batch_of([(r["row"], i, *p) for i, p in enumerate(places(found, chunk))], _PLACES)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = rank_encoder(ranks)
@@ -133,12 +146,19 @@ def _encoded_long(rows: DataFrame, ranks: str, chunk: int, overlap: int) -> Data
                 ids = np.concatenate([np.frombuffer(p["ids"], "<u4") for p in r["pieces"]])
                 yield batch_of([digest(r["doc_id"], ids, table)], _RESULT)
 
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.char_length("text") - overlap - 1), F.lit(chunk))
-    chunks = rows.select("row", "text", F.posexplode(starts).alias("chunk", "at"))
-    chunks = chunks.select("row", "chunk", F.substring(F.col("text"), F.col("at") + 1, F.lit(chunk + overlap)).alias("text"))
-    found = chunks.repartition(partitions, "row", "chunk").mapInArrow(cut, _CUTS)
-    gathered = found.groupBy("row").agg(F.collect_list(F.struct("chunk", "cuts")).alias("found"))
-    parts = rows.join(gathered, "row").mapInArrow(stitch, "row long, piece int, doc_id long, text string")
-    ids = parts.repartition(partitions, "row", "piece").mapInArrow(encode, _IDS)
+    ends = chunks.select("row", "chunk", "text").mapInArrow(cut, _CUTS)
+    gathered = ends.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "size", "head", "tail"))).alias("found"))
+    placed = written(gathered.mapInArrow(stitch, _PLACES), "places")
+    text = F.substring(F.col("text"), F.col("begin") + 1, F.col("end") - F.col("begin")).alias("text")
+
+    def of(some: DataFrame) -> DataFrame:
+        return chunks.join(some, ["row", "chunk"]).select("row", "piece", "doc_id", "chunk", text)
+
+    ids = of(placed.filter("alone")).select("row", "piece", "doc_id", "text").mapInArrow(encode, _IDS)
+    rest = placed.filter("NOT alone")
+    if not rest.isEmpty():
+        in_order = F.array_sort(F.collect_list(F.struct("chunk", "text")))
+        joined = of(rest).groupBy("row", "piece", "doc_id").agg(F.array_join(F.transform(in_order, lambda c: c["text"]), "").alias("text"))
+        ids = ids.unionAll(joined.mapInArrow(encode, _IDS))
     per_text = ids.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("pieces"))
     return per_text.mapInArrow(join_ids, _RESULT)
