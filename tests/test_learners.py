@@ -195,6 +195,39 @@ def test_trees_equal_a_tree_grown_row_by_row(spark):
             assert np.allclose(forests.value[k * count + t], value)
 
 
+def test_trees_draw_inside_the_own_range_of_a_node(spark):
+    """One extreme row must not end the others: equal to trees grown row by row, each node in its rows' range."""
+    pdf, df = table(spark, 80)
+    pdf.loc[0, "a"] = 1e5
+    pdf.loc[1:, "c"] = 7.0  # constant in most nodes
+    df = spark.createDataFrame(pdf)
+    depth, count = 4, 3
+    forests = trees.fit_trees(df.repartition(5), XS, "y", 5, trees=count, depth=depth, seed=3, own_range=True)
+    x, y, fold = pdf[XS].to_numpy(), pdf["y"].to_numpy(), pdf["fold"].to_numpy()
+
+    def grow(k, t, node, rows, level):
+        value[node] = y[rows].mean()
+        low, high = x[rows].min(axis=0), x[rows].max(axis=0)
+        differ = np.flatnonzero(low < high)
+        if level == depth or not len(differ) or y[rows].var() < 1e-12:
+            return
+        parts = (np.array([t]), np.array([node]), np.arange(3))
+        limits = low + trees._draw(6, *parts) * (high - low)
+        tried = differ[trees._draw(7, *parts)[differ].argsort()][:2]
+        splits = [(f, x[rows, f] > limits[f]) for f in np.sort(tried)]
+        _, right = min(splits, key=lambda s: sum(((y[rows][p] - y[rows][p].mean()) ** 2).sum() for p in (s[1], ~s[1])))
+        grow(k, t, 2 * node + 1, rows[~right], level + 1)
+        grow(k, t, 2 * node + 2, rows[right], level + 1)
+
+    for k in range(5):
+        for t in range(count):
+            value = np.zeros(2 ** (depth + 1) - 1)
+            grow(k, t, 0, np.flatnonzero(fold != k), 0)
+            assert np.allclose(forests.value[k * count + t], value)
+    got = trees.trees_oof(df, XS, "y", 5).toPandas().sort_values("id")["pred"].to_numpy()
+    assert np.sqrt(((got - y)[1:] ** 2).mean()) < 0.5 * y.std()
+
+
 def test_stack_has_all_learners_and_blends_them(spark):
     pdf, df = table(spark, 150)
     unseen = df.select("id", *XS).filter("id < 20")
