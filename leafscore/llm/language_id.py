@@ -4,11 +4,14 @@ Letters are lower-cased, everything else is a space between words. All n-grams o
 hashed to `BUCKETS` features; a feature's value is its share of the text's n-grams times its inverse
 document frequency, which is counted over all training documents. The weights are learned by
 follow-the-regularised-leader with an elastic-net penalty (most stay exactly 0) from a sample of about
-`FIT_ROWS` training documents, spread evenly over the languages; a fifth of them is kept back to fit the
-temperature that turns scores into calibrated probabilities.
+`FIT_ROWS` training documents, spread evenly over the languages, or of `LANGUAGE_ROWS` for each language where
+that is more; a fifth of them is kept back to fit the temperature that turns scores into calibrated
+probabilities. Every language of the training documents is learned.
 
 A score is linear in the counts, so a text of any length is scored by sums over its n-grams, without a
-table of its distinct ones. What tasks are sent is a table of `BUCKETS` times languages numbers.
+table of its distinct ones. What tasks are sent is a table of `BUCKETS` times languages numbers, for more than
+`DENSE` languages only those that are not 0. While it learns, the driver holds two numbers for every language
+and n-gram feature of the sample.
 """
 
 from __future__ import annotations
@@ -27,9 +30,11 @@ from leafscore.llm.store import batch_from, column_of, unused
 
 BUCKETS = 1 << 16
 NGRAMS = (1, 2, 3)
-# Documents that the weights are fitted on, about; languages beyond the most frequent are not learned.
+# Documents that the weights are fitted on, about, and of each language at least (if it has as many).
 FIT_ROWS = 4000
-LANGUAGES = 200
+LANGUAGE_ROWS = 50
+# Up to so many languages, weights are a full table and learned in double precision.
+DENSE = 64
 # Follow-the-regularised-leader: step size, its offset, both penalties, and passes over the sample.
 ALPHA, BETA, L1, L2, PASSES, STEP_ROWS = 2.0, 1.0, 0.02, 0.05, 4, 32
 # Feature values are shares of a text; this brings them near 1.
@@ -109,10 +114,27 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     return int(n[feature < 0].sum()), frequencies
 
 
+@dataclass(frozen=True)
+class SparseTable:
+    """The entries of a table BUCKETS x languages that are not 0, row by row."""
+
+    starts: np.ndarray  # BUCKETS + 1: where the entries of a row begin
+    columns: np.ndarray
+    values: np.ndarray
+    languages: int
+
+    def sums(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The sum of some rows, each as often as it is counted."""
+        sizes = self.starts[features + 1] - self.starts[features]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[features] - ends + sizes, sizes)
+        return np.bincount(self.columns[at], self.values[at] * np.repeat(counts, sizes), self.languages)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: list[str]
-    table: np.ndarray  # BUCKETS x languages: what one n-gram adds to the scores, over the text's number of n-grams
+    table: np.ndarray | SparseTable  # BUCKETS x languages: what one n-gram adds to the scores, over the text's number of n-grams
     temperature: float
 
 
@@ -121,32 +143,57 @@ def _probabilities(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def follow_leader(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """BUCKETS x k weights from rows of (features, values), by follow-the-regularised-leader."""
-    z, n, w = (np.zeros((BUCKETS, k)) for _ in range(3))
+def _leader_weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    step = (BETA + np.sqrt(n)) / ALPHA + L2
+    return np.where(np.abs(z) > L1, -(z - np.sign(z) * L1) / step, 0.0).astype(z.dtype)
+
+
+def _leader_state(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features of the rows, their z and n for every class) by follow-the-regularised-leader."""
+    features = np.unique(np.concatenate([f for f, _ in rows])) if rows else np.zeros(0, int)
+    z, n = (np.zeros((len(features), k), np.float64 if k <= DENSE else np.float32) for _ in range(2))
     draw = np.random.default_rng(seed)
     for _ in range(PASSES):
         order = draw.permutation(len(rows))
         for start in range(0, len(order), STEP_ROWS):
             chosen = order[start : start + STEP_ROWS]
-            at = np.concatenate([rows[i][0] for i in chosen])
-            value = np.concatenate([rows[i][1] for i in chosen])
-            owner = np.repeat(np.arange(len(chosen)), [len(rows[i][0]) for i in chosen])
-            scores = np.zeros((len(chosen), k))
-            np.add.at(scores, owner, w[at] * value[:, None])
-            error = _probabilities(scores)
+            touched, back = np.unique(np.concatenate([rows[i][0] for i in chosen]), return_inverse=True)
+            x = np.zeros((len(chosen), len(touched)), z.dtype)
+            x[np.repeat(np.arange(len(chosen)), [len(rows[i][0]) for i in chosen]), back] = np.concatenate([rows[i][1] for i in chosen])
+            touched = np.searchsorted(features, touched)
+            before, w = n[touched], _leader_weights(z[touched], n[touched])
+            error = _probabilities(x @ w)
             error[np.arange(len(chosen)), y[chosen]] -= 1
-            touched, back = np.unique(at, return_inverse=True)
-            g = np.stack([np.bincount(back, value * error[owner, c], len(touched)) for c in range(k)], axis=1)
-            before = n[touched]
-            n[touched] = before + g * g
-            z[touched] += g - (np.sqrt(n[touched]) - np.sqrt(before)) / ALPHA * w[touched]
-            t = z[touched]
-            step = (BETA + np.sqrt(n[touched])) / ALPHA + L2
-            w[touched] = np.where(np.abs(t) > L1, -(t - np.sign(t) * L1) / step, 0.0)
+            g = x.T @ error
+            after = before + g * g
+            z[touched] += g - (np.sqrt(after) - np.sqrt(before)) / ALPHA * w
+            n[touched] = after
+    return features, z, n
+
+
+def follow_leader(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
+    """BUCKETS x k weights from rows of (distinct features, values), by follow-the-regularised-leader."""
+    features, z, n = _leader_state(rows, y, k, seed)
+    w = np.zeros((BUCKETS, k))
+    w[features] = _leader_weights(z, n)
     return w
 
 
+def follow_leader_sparse(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, scale: np.ndarray, seed: int = 0) -> SparseTable:
+    """The weights, each feature's times its scale, without those that are 0."""
+    features, z, n = _leader_state(rows, y, k, seed)
+    sizes, columns, values = np.zeros(BUCKETS, np.int64), [], []
+    for start in range(0, len(features), 1024):
+        part = slice(start, start + 1024)
+        w = _leader_weights(z[part], n[part])
+        row, column = np.nonzero(w)
+        sizes[features[part]] = np.bincount(row, minlength=len(w))
+        columns.append(column.astype(np.int32))
+        values.append((w[row, column] * scale[features[part]][row]).astype(np.float32))
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    return SparseTable(starts, np.concatenate([*columns, np.zeros(0, np.int32)]), np.concatenate([*values, np.zeros(0, np.float32)]), k)
+
+
 def fit_temperature(scores: np.ndarray, y: np.ndarray) -> float:
     """The divisor of the scores with the lowest loss on rows that the weights have not seen."""
     if not len(y):
@@ -159,16 +206,17 @@ def fit_temperature(scores: np.ndarray, y: np.ndarray) -> float:
 def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:
     """Learn from the rows of `docs` with a text and a language. Without any, the model has no languages."""
     named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
-    sizes = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in sizes)
+    sizes = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}  # a number per language
+    languages = sorted(sizes)
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), 1.0)
     total, frequencies = document_frequencies(named)
     inverse = np.log((1 + total) / (1 + frequencies)) + 1
 
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, FIT_ROWS / len(languages) / r["count"]))])
+    each = max(FIT_ROWS / len(languages), LANGUAGE_ROWS)
+    shares = docs.sparkSession.createDataFrame([(v, min(1.0, each / n)) for v, n in sizes.items()], "lang string, share double")
     draw = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 20)) / float(1 << 20)
-    sample = named.filter(draw < share[F.col("lang")])
+    sample = named.join(F.broadcast(shares), "lang").filter(draw < F.col("share"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,15 +228,28 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key:
 
     # Copies of one text are drawn together, so the sample is cut where they outnumber it.
     rows = sample.select(F.col("key").cast("string").alias("key"), "lang", "text").mapInArrow(count, _COUNTS)
-    rows = rows.limit(2 * FIT_ROWS).toArrow().sort_by("key")
-    x = [(np.array(f, int), np.array(c) / max(1, sum(c)) * inverse[f] * SCALE) for f, c in zip(rows["at"].to_pylist(), rows["counts"].to_pylist())]
-    y = np.array([languages.index(v) for v in rows["lang"].to_pylist()], int)
+    rows = rows.limit(int(2 * each * len(languages))).toArrow().sort_by("key")
+    found = [_lists(rows[c]) for c in ("at", "counts")]
+    x = [(f, c / max(1, c.sum()) * inverse[f] * SCALE) for f, c in zip(*found)]
+    number = {v: i for i, v in enumerate(languages)}
+    y = np.array([number[v] for v in rows["lang"].to_pylist()], int)
     kept_back = np.arange(len(y)) % 5 == 4
-    fitted = np.flatnonzero(~kept_back)
-    weights = follow_leader([x[i] for i in fitted], y[fitted], len(languages))
-    scores = np.array([v @ weights[f] for f, v in (x[i] for i in np.flatnonzero(kept_back))]).reshape(-1, len(languages))
-    temperature = fit_temperature(scores, y[kept_back])
-    return LanguageModel(languages, (weights * inverse[:, None] * SCALE).astype(np.float32), temperature)
+    kept_back &= np.isin(y, y[~kept_back])  # a language's only rows are learned from
+    fitted, rest = [x[i] for i in np.flatnonzero(~kept_back)], np.flatnonzero(kept_back)
+    if len(languages) <= DENSE:
+        weights = follow_leader(fitted, y[~kept_back], len(languages))
+        scores = [v @ weights[f] for f, v in (x[i] for i in rest)]
+        model = (weights * inverse[:, None] * SCALE).astype(np.float32)
+    else:
+        model = follow_leader_sparse(fitted, y[~kept_back], len(languages), inverse * SCALE)
+        scores = [model.sums(found[0][i], found[1][i]) / max(1, found[1][i].sum()) for i in rest]
+    temperature = fit_temperature(np.array(scores).reshape(-1, len(languages)), y[kept_back])
+    return LanguageModel(languages, model, temperature)
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The values of each list."""
+    return [v for c in column.chunks for v in np.split(c.flatten().to_numpy(), c.offsets.to_numpy()[1:-1] - c.offsets[0].as_py())] if len(column) else []
 
 
 _COUNTS = "key string, lang string, at array<int>, counts array<int>"
@@ -198,14 +259,19 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
     """(languages, calibrated probabilities) of some texts."""
     k = len(model.languages)
     sums, totals = np.zeros((len(texts), k)), np.zeros(len(texts), np.int64)
-    for features, rows in zip(*grams(texts)):
-        if not len(features):
-            continue
-        first = np.flatnonzero(np.diff(rows, prepend=-1))
-        present = rows[first]
-        totals[present] += np.diff(np.append(first, len(rows)))
-        for c in range(k):
-            sums[present, c] += np.add.reduceat(model.table[:, c][features], first, dtype=np.float64)
+    if isinstance(model.table, np.ndarray):
+        for features, rows in zip(*grams(texts)):
+            if not len(features):
+                continue
+            first = np.flatnonzero(np.diff(rows, prepend=-1))
+            present = rows[first]
+            totals[present] += np.diff(np.append(first, len(rows)))
+            for c in range(k):
+                sums[present, c] += np.add.reduceat(model.table[:, c][features], first, dtype=np.float64)
+    else:
+        for i, (features, counts) in enumerate(_row_counts(texts)):
+            totals[i] = counts.sum()
+            sums[i] = model.table.sums(features, counts)
     known = (totals > 0) & (k > 0)
     if not k:
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))

@@ -56,6 +56,32 @@ def test_regularised_leader_is_sparse_and_separates():
     assert language_id.fit_temperature(5 * scores, y) > language_id.fit_temperature(scores, y) * 0.99
 
 
+def test_every_language_of_many_is_learned(spark):
+    """More languages than the most frequent 200: each has three syllables of its own, the last ten few rows."""
+    rng = random.Random(9)
+    names = [f"l{i:03}" for i in range(230)]
+    syllables = {v: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzåäöéèñ", k=4)) for _ in range(3)] for v in names}
+    rows = [(v, " ".join(rng.choices(syllables[v], k=30))) for i, v in enumerate(names) for _ in range(20 if i < 220 else 8)]
+    docs = spark.createDataFrame([(i, t, v) for i, (v, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(4)
+    model = language_id.fit_languages(docs.filter(~language_id.held_out()))
+    assert model.languages == names and len(model.table.values) < 0.2 * language_id.BUCKETS * len(names)
+    got = {r.doc_id: r.lang_pred for r in language_id.language_report(docs).filter("held_out").collect()}
+    right = {v: [got[i] == v for i, (w, _) in enumerate(rows) if w == v and i in got] for v in names}
+    assert sum(map(sum, right.values())) >= 0.97 * len(got)
+    assert all(any(right[v]) for v in names if right[v])
+
+
+def test_sparse_weights_equal_full_ones():
+    rng = np.random.default_rng(3)
+    rows = [(np.sort(rng.choice(300, 12, replace=False)), rng.random(12)) for _ in range(200)]
+    y, scale = rng.integers(0, 5, 200), rng.random(language_id.BUCKETS)
+    full = language_id.follow_leader(rows, y, 5) * scale[:, None]
+    sparse = language_id.follow_leader_sparse(rows, y, 5, scale)
+    for features, _ in rows:
+        counts = rng.integers(1, 9, len(features))
+        assert np.allclose(sparse.sums(features, counts), counts @ full[features], atol=1e-5)
+
+
 def marked(spark, n=600, seed=2):
     """Two words mark toxic rows; half of these carry a label."""
     rng = random.Random(seed)
