@@ -7,8 +7,8 @@ ones in the document and in the item, hence at least one common fingerprint: non
 two hashes in seven are kept. Documents that share a fingerprint are extended to whole windows, compared
 as text.
 
-Fingerprints ignore the case of letters beyond ASCII, which only makes them agree more often than the words.
-Items with fewer words than a window are one window of their own length; their few lengths (at most
+Both sides fold A-Z and nothing else: lower case beyond ASCII can depend on the letters around it, which a
+window does not have. Items with fewer words than a window are one window of their own length; their few lengths (at most
 `WINDOW` - 1) are looked for in the same way with every run of that length as a fingerprint.
 
 The benchmark's fingerprints are written first, so Spark knows their size and chooses between sending them
@@ -101,11 +101,11 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if not lengths:
         lengths = [WINDOW]
     short = [n for n in lengths if n < WINDOW]
-    item_words = F.split(F.lower("words"), " ")
+    item_words = F.split("words", " ")
     known = written(wanted.select(F.explode(fingerprints(item_words, short)).alias("mark")).distinct(), "marks")
 
     rows = docs.select("doc_id", "text", _key(F.col("text")))
-    marks = rows.select("doc_id", "__row", F.explode(fingerprints(split_words(F.lower("text")), short)).alias("mark"))
+    marks = rows.select("doc_id", "__row", F.explode(fingerprints(split_words(folded(F.col("text"))), short)).alias("mark"))
     suspects = written(marks.join(known, "mark", "left_semi").select("doc_id", "__row").distinct(), "suspects")
     same = rows["doc_id"].eqNullSafe(suspects["doc_id"]) & (rows["__row"] == suspects["__row"])
     suspected = rows.join(suspects, same, "left_semi")

@@ -77,6 +77,26 @@ def test_winnowing_equals_brute_force_on_odd_rows(spark, odd_docs, odd_rows, no_
     assert kept.count() == sum(h[2] == 0 for h in brute_hits(odd_rows, items))
 
 
+def test_winnowing_finds_words_whose_lower_case_depends_on_the_text(spark):
+    """The lower case of a capital sigma is another one at the end of a word, and 'Ο.Σ.' is one word or two."""
+    sigmas = "Ο.Σ. " * 5
+    rows = [
+        (1, "before it " + sigmas + "and behind"),
+        (2, "Ο.Σ. stands alone here"),
+        (3, "other words " + sigmas.strip()),
+        (4, "so it is ΟΔΟΣ.Α ΟΔΟΣ here"),
+        (5, "nothing of it, Ο.σ. at most"),
+    ]
+    items = [(1, sigmas), (2, "Ο.Σ."), (3, "Σ"), (4, "ΟΔΟΣ Α"), (5, sigmas + "and more of it")]
+    for some in (items, items[:1], items[1:2], items[2:3], items[3:4], items[4:]):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        benchmark = spark.createDataFrame(some, "item_id bigint, text string")
+        got = winnowing.winnowing_report(docs, benchmark).select("doc_id", "n_words", "n_hit", "n_items").collect()
+        assert plain(got) == plain(brute_hits(rows, some))
+        clean = sorted(r.doc_id for r in winnowing.keep_clean(docs, benchmark).collect())
+        assert clean == [h[0] for h in brute_hits(rows, some) if not h[2]]
+
+
 def test_winnowing_runs_no_python_and_explodes_no_words(spark, sf):
     plan = QUERIES["op4_winnowing"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
