@@ -316,10 +316,17 @@ def language_report(docs: DataFrame) -> DataFrame:
     return identify(rows.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.35) -> DataFrame:
+def keep_identified(docs: DataFrame, least: float = 0.35, times: float = 1.4) -> DataFrame:
     """The documents whose language can be told: without null texts, texts without letters, and those whose
-    best language is less likely than `least`."""
+    best language is less likely than `least` and than `times` a blind guess among the languages.
+
+    Where no language could be learned, only null texts and texts without letters go.
+    """
     model = fit_languages(docs.filter(~held_out()))
+    if not model.languages:  # one language, certain for every text with letters
+        model = LanguageModel(["any"], np.zeros((BUCKETS, 1), np.float32), 1.0)
+    least = min(least, times / len(model.languages))
     name = unused(docs.columns, "guess")
     named = docs.withColumn(name, guesser(docs, model)(F.col("text")))
-    return named.filter((F.col(name)["lang_pred"] != UNDETERMINED) & (F.col(name)["score"] >= least)).drop(name)
+    # The guess has the name `und` and score 0 for a text without letters alone.
+    return named.filter((F.col(name)["score"] > 0) & (F.col(name)["score"] >= least)).drop(name)

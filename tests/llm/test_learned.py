@@ -71,6 +71,16 @@ def test_every_language_of_many_is_learned(spark):
     assert all(any(right[v]) for v in names if right[v])
 
 
+def test_documents_stay_where_languages_are_many_or_unknown(spark, monkeypatch):
+    rows = [(0, "some text"), (1, None), (2, "12 ..."), (3, "other text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", language_id.F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in language_id.keep_identified(docs).collect()) == [0, 3]
+    close = language_id.LanguageModel(list("abcdefgh"), np.zeros((language_id.BUCKETS, 8)), 1.0)
+    close.table[:, 0] = 0.6  # the best has a chance of 0.21, a blind guess 0.125
+    monkeypatch.setattr(language_id, "fit_languages", lambda docs: close)
+    assert sorted(r.doc_id for r in language_id.keep_identified(docs).collect()) == [0, 3]
+
+
 def test_sparse_weights_equal_full_ones():
     rng = np.random.default_rng(3)
     rows = [(np.sort(rng.choice(300, 12, replace=False)), rng.random(12)) for _ in range(200)]
