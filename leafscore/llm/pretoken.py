@@ -83,6 +83,10 @@ class Encoder:
         self.encode, self.sizes = encode, sizes
         self.forget()
 
+    def _starts(self, codes: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        """Where the parts begin that are encoded each by itself."""
+        return pretoken_starts(codes, texts)
+
     def forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
         self.slot = np.zeros(0, np.int64)
@@ -134,7 +138,7 @@ class Encoder:
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         offsets = np.append(0, np.cumsum(lengths))
-        start = pretoken_starts(codes, np.unique(offsets[:-1][lengths > 0]))
+        start = self._starts(codes, np.unique(offsets[:-1][lengths > 0]))
         end = np.append(start[1:], len(codes))
         hashes = span_hash(running(mix(codes.astype(np.uint64) + np.uint64(1))), start, end)
         distinct, place, back = np.unique(hashes, return_index=True, return_inverse=True)

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafscore.llm import (
+    alignment,
     block_dedup,
     bpe,
+    chat,
     language_id,
     license_scan,
     norm_topk,
@@ -18,6 +20,7 @@ from leafscore.llm import (
     suffix_dedup,
     token_files,
     toxicity,
+    whitening,
     winnowing,
 )
 from leafscore.llm.store import table
@@ -63,6 +66,19 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.suffix_report(table(spark, sf, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment_report(table(spark, sf, "documents"), *paths)
+
+
+def op12_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.chat_report(table(spark, sf, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitening_report(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_license_scan,
         op10_suffix_dedup,
+        op11_token_alignment,
+        op12_chat_format,
+        op13_whitening,
     )
 }
 
@@ -83,4 +102,5 @@ ORACLES: dict[str, str] = {
     "op4_winnowing": winnowing.SQL,
     "op5_norm_topk": norm_topk.SQL,
     "op9_license_scan": license_scan.sql(),
+    "op12_chat_format": chat.SQL,
 }
