@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from leafscore.operators import folds, linear, trees
+from leafscore.operators import folds, linear, subtrees, trees
 from leafscore.operators.moments import fold_moments
 from leafscore.plans import heads, pseudo, stacking
 
@@ -170,8 +170,8 @@ def test_trees_equal_a_tree_grown_row_by_row(spark):
         if level == depth:
             return
         parts = (np.array([t]), np.array([node]), np.arange(3))
-        limits = low + trees._draw(6, *parts) * (high - low)
-        tried = trees._draw(7, *parts).argsort().argsort() < 2
+        limits = low + subtrees.draw(6, *parts) * (high - low)
+        tried = subtrees.draw(7, *parts).argsort().argsort() < 2
         best = None
         for f in np.flatnonzero(tried):
             right = x[rows, f] > limits[f]
@@ -195,8 +195,12 @@ def test_trees_equal_a_tree_grown_row_by_row(spark):
             assert np.allclose(forests.value[k * count + t], value)
 
 
-def test_trees_draw_inside_the_own_range_of_a_node(spark):
+# All trees in the tasks; passes to the last level; passes until nodes have 20 rows (5 numbers each).
+@pytest.mark.parametrize("held", [trees.HELD, 0, 100])
+def test_trees_draw_inside_the_own_range_of_a_node(spark, monkeypatch, held):
     """One extreme row must not end the others: equal to trees grown row by row, each node in its rows' range."""
+    monkeypatch.setattr(trees, "HELD", held)
+    monkeypatch.setattr(trees, "HANDED", 4)
     pdf, df = table(spark, 80)
     pdf.loc[0, "a"] = 1e5
     pdf.loc[1:, "c"] = 7.0  # constant in most nodes
@@ -212,8 +216,8 @@ def test_trees_draw_inside_the_own_range_of_a_node(spark):
         if level == depth or not len(differ) or y[rows].var() < 1e-12:
             return
         parts = (np.array([t]), np.array([node]), np.arange(3))
-        limits = low + trees._draw(6, *parts) * (high - low)
-        tried = differ[trees._draw(7, *parts)[differ].argsort()][:2]
+        limits = low + subtrees.draw(6, *parts) * (high - low)
+        tried = differ[subtrees.draw(7, *parts)[differ].argsort()][:2]
         splits = [(f, x[rows, f] > limits[f]) for f in np.sort(tried)]
         _, right = min(splits, key=lambda s: sum(((y[rows][p] - y[rows][p].mean()) ** 2).sum() for p in (s[1], ~s[1])))
         grow(k, t, 2 * node + 1, rows[~right], level + 1)
