@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafscore.llm.buffers import pieces, running, sliding_first_min, window_hash
-from leafscore.llm.repeats import SPANS, changes, governed, judge_spans, pack, removed, span_columns, text_tags
-from leafscore.llm.store import batch_of, column, shuffle_partitions, whole, written
+from leafscore.llm.buffers import pieces, planes, running, sliding_first_min, unplanes, window_hash
+from leafscore.llm.repeats import Found, changes, governed, judge_spans, pack, removed, span_columns, tagged
+from leafscore.llm.store import batch_of, column, shuffle_partitions, tidied, whole, written
 from leafscore.llm.words import word_hashes, word_spans
 
 # Words of a shared passage.
@@ -50,16 +50,6 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of equal rank together: the upper ones are mostly zero and compress well."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-
-
-def _unplanes(data: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T.copy().reshape(-1).view(kind)
-
-
 def probes(docs: DataFrame, block: int, buckets: int) -> DataFrame:
     """Packed probes: per bucket the documents, the numbers of their hashes, the hashes' lower 32 bits,
     and the hashes that are blocks of the index."""
@@ -88,9 +78,9 @@ def probes(docs: DataFrame, block: int, buckets: int) -> DataFrame:
             counts = np.diff(np.append(first, len(owner))).astype(np.uint32)
             blocks = np.unique(low[one][indexed[one]])
             gaps = np.diff(owner[first], prepend=np.int64(0))
-            yield int(bucket[start]), _planes(gaps), _planes(counts), _planes(sent), _planes(blocks)
+            yield int(bucket[start]), planes(gaps), planes(counts), planes(sent), planes(blocks)
 
-    return docs.mapInArrow(send, _PROBES)
+    return docs.mapInArrow(tidied(send), _PROBES)
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,15 +90,15 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bucket = column(rows, "bucket")
     for b in np.unique(bucket):
         mine = rows.filter(pa.array(bucket == b))
-        sent = [_unplanes(x.as_py(), "u4") for x in mine.column("hashes")]
+        sent = [unplanes(x.as_py(), "u4") for x in mine.column("hashes")]
         known, times = np.unique(np.concatenate(sent), return_counts=True)
-        blocks = np.concatenate([_unplanes(x.as_py(), "u4") for x in mine.column("indexed")])
+        blocks = np.concatenate([unplanes(x.as_py(), "u4") for x in mine.column("indexed")])
         hits = np.intersect1d(known[times > 1], blocks)
         if not len(hits):
             continue
         for hashes, gaps, counts in zip(sent, mine.column("docs"), mine.column("counts")):
-            ids = np.cumsum(_unplanes(gaps.as_py(), "i8"))
-            owner = np.repeat(np.arange(len(ids)), _unplanes(counts.as_py(), "u4"))
+            ids = np.cumsum(unplanes(gaps.as_py(), "i8"))
+            owner = np.repeat(np.arange(len(ids)), unplanes(counts.as_py(), "u4"))
             at = np.minimum(np.searchsorted(hits, hashes), len(hits) - 1)
             hit = hits[at] == hashes
             owner, hashes = owner[hit], hashes[hit]
@@ -122,21 +112,20 @@ def hits(docs: DataFrame, block: int) -> DataFrame:
     """Rows (doc_id, bucket, hashes): per document the hashes that are in the index and came more than once."""
     partitions = shuffle_partitions(docs.sparkSession)
     sent = probes(docs, block, partitions)
-    return written(sent.repartitionById(partitions, F.col("bucket")).mapInArrow(_answer, _HITS), "hits")
+    return written(sent.repartitionById(partitions, F.col("bucket")).mapInArrow(tidied(_answer), _HITS), "hits")
 
 
-def spans(docs: DataFrame, found: DataFrame, width: int, block: int, buckets: int) -> DataFrame:
-    """Rows (head, tail, span, context, doc_id, loc): spans of windows with the lowest hit inside them."""
+def spans_in(width: int, block: int, buckets: int):
+    """The spans of windows with the lowest hit inside them, of rows (doc_id, tag, text, found)."""
     none = np.uint64(0xFFFFFFFF)
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [p for i in range(batch.num_rows) if (p := of_row(batch.slice(i, 1))) is not None]
-            if parts:
-                columns = [pa.array(np.concatenate(c)) for c in zip(*parts)]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SPANS.split(", ")])
+    def choose(batch: pa.RecordBatch) -> Iterator[Found]:
+        for i in range(batch.num_rows):
+            found = of_row(batch.slice(i, 1))
+            if found is not None:
+                yield found
 
-    def of_row(row: pa.RecordBatch) -> tuple | None:
+    def of_row(row: pa.RecordBatch) -> Found | None:
         words, offsets = word_hashes(row)
         sums = running(words)
         hashes = window_hash(sums, block)
@@ -155,13 +144,10 @@ def spans(docs: DataFrame, found: DataFrame, width: int, block: int, buckets: in
         if not len(start):
             return None
         span, context = span_columns(sums, offsets, start, count, anchor, doc, width, block)
-        loc = pack(start, count, text_tags(sums, offsets)[doc])
-        ids = np.full(len(start), row.column("doc_id")[0].as_py())
-        return hashes[anchor].view(np.int64), np.zeros(len(start), np.int32), span, context, ids, loc
+        doc, tag = (np.full(len(start), row.column(c)[0].as_py()) for c in ("doc_id", "tag"))
+        return doc, tag, hashes[anchor].view(np.int64), np.zeros(len(start), np.int32), span, context, pack(start, count)
 
-    answer = F.collect_list(F.struct("bucket", "hashes")).alias("found")
-    rows = docs.join(found.groupBy("doc_id").agg(answer), "doc_id")
-    return rows.mapInArrow(choose, SPANS)
+    return choose
 
 
 def block_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -175,10 +161,11 @@ def block_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     fields = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
     block = width // 2
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = tagged(docs.select(F.col("doc_id").cast("long"), "text"))
     named = rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    found = hits(named, block)
-    judged = judge_spans(spans(named, found, width, block, shuffle_partitions(docs.sparkSession)), width, block)
+    answer = F.collect_list(F.struct("bucket", "hashes")).alias("found")
+    hit = named.join(hits(named.select("doc_id", "text"), block).groupBy("doc_id").agg(answer), "doc_id")
+    judged = judge_spans(hit, docs.count(), spans_in(width, block, shuffle_partitions(docs.sparkSession)), width, block)
 
     def finish(row: pa.RecordBatch, mask: np.ndarray | None) -> tuple:
         data, begin, end, _ = word_spans(row)

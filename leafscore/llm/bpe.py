@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from leafscore.llm.buffers import pieces
 from leafscore.llm.pretoken import pretoken_starts
-from leafscore.llm.store import batch_of, shuffle_partitions, written
+from leafscore.llm.store import batch_of, shuffle_partitions, tidied, written
 from leafscore.llm.tokenizers import rank_encoder, rank_pieces
 
 CHUNK, OVERLAP = 16384, 1024
@@ -103,7 +103,7 @@ def encoded(docs: DataFrame, ranks: str, chunk: int = CHUNK, overlap: int = OVER
             if out:
                 yield batch_of(out, _RESULT)
 
-    short = rows.filter(~long).mapInArrow(encode, _RESULT)
+    short = rows.filter(~long).mapInArrow(tidied(encode), _RESULT)
     return short.unionAll(_encoded_long(rows.filter(long), ranks, chunk, overlap))
 
 
@@ -146,19 +146,19 @@ def _encoded_long(rows: DataFrame, ranks: str, chunk: int, overlap: int) -> Data
                 ids = np.concatenate([np.frombuffer(p["ids"], "<u4") for p in r["pieces"]])
                 yield batch_of([digest(r["doc_id"], ids, table)], _RESULT)
 
-    ends = chunks.select("row", "chunk", "text").mapInArrow(cut, _CUTS)
+    ends = chunks.select("row", "chunk", "text").mapInArrow(tidied(cut), _CUTS)
     gathered = ends.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "size", "head", "tail"))).alias("found"))
-    placed = written(gathered.mapInArrow(stitch, _PLACES), "places")
+    placed = written(gathered.mapInArrow(tidied(stitch), _PLACES), "places")
     text = F.substring(F.col("text"), F.col("begin") + 1, F.col("end") - F.col("begin")).alias("text")
 
     def of(some: DataFrame) -> DataFrame:
         return chunks.join(some, ["row", "chunk"]).select("row", "piece", "doc_id", "chunk", text)
 
-    ids = of(placed.filter("alone")).select("row", "piece", "doc_id", "text").mapInArrow(encode, _IDS)
+    ids = of(placed.filter("alone")).select("row", "piece", "doc_id", "text").mapInArrow(tidied(encode), _IDS)
     rest = placed.filter("NOT alone")
     if not rest.isEmpty():
         in_order = F.array_sort(F.collect_list(F.struct("chunk", "text")))
         joined = of(rest).groupBy("row", "piece", "doc_id").agg(F.array_join(F.transform(in_order, lambda c: c["text"]), "").alias("text"))
-        ids = ids.unionAll(joined.mapInArrow(encode, _IDS))
+        ids = ids.unionAll(joined.mapInArrow(tidied(encode), _IDS))
     per_text = ids.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("pieces"))
-    return per_text.mapInArrow(join_ids, _RESULT)
+    return per_text.mapInArrow(tidied(join_ids), _RESULT)

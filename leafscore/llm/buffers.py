@@ -29,7 +29,7 @@ def powers(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, PIECE + 1), base, np.uint64)
         steps[0] = 1
         kept = np.cumprod(steps, dtype=np.uint64)
-        if n > 8 * PIECE:  # not worth keeping for one very long text
+        if n > 2 * PIECE:  # a worker goes on to other work; one long text's are not kept
             return kept
         _powers[base] = kept
     return kept[:n]
@@ -65,6 +65,16 @@ def window_hash(sums: np.ndarray, width: int) -> np.ndarray:
     return mix((sums[width:] - sums[:n]) * powers(_INVERSE, n) + np.uint64(width))
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Bytes of equal rank together: the upper ones are mostly alike and compress well."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def unplanes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T.copy().reshape(-1).view(kind)
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every `width` neighbours, by doubling."""
     done = 1

@@ -28,13 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafscore.llm.buffers import mix, pieces, running, runs, spaced, span_hash, text_bytes, window_hash
 from leafscore.llm.components import components
 from leafscore.llm.repeats import changes
-from leafscore.llm.store import batch_from, batch_of, unused, written
+from leafscore.llm.store import batch_from, batch_of, column_of, tidied, unused, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -123,7 +123,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 yield batch_from([piece.column("doc_id"), s1.view(np.int64), s2.view(np.int64), n, lists, bits], _SKETCH)
 
     rows = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    return written(rows.select(F.col("doc_id").cast("long"), "text").mapInArrow(of_texts, _SKETCH), "sketches")
+    return written(rows.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(of_texts), _SKETCH), "sketches")
 
 
 def matched(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -176,7 +176,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     texts = written(docs.select(F.col("doc_id").cast("long"), "text").filter("text IS NOT NULL").join(ids, "doc_id", "left_semi"), "texts")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return written(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").mapInArrow(_verify, _PAIRS), "verified")
+    return written(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").mapInArrow(tidied(_verify), _PAIRS), "verified")
 
 
 def _limit(n: Column) -> Column:
@@ -259,11 +259,16 @@ def _across_classes(starred: DataFrame, nodes: DataFrame, roots: DataFrame, comp
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one with the lowest doc_id (of rows that share it, the one with the
-    lowest text). Rows without doc_id stay."""
-    lowest, place = unused(docs.columns, "lowest"), unused(docs.columns, "place")
-    classes = near_duplicates(docs).filter("doc_id = class_id").select(F.col("doc_id").alias(lowest)).distinct()
-    kept = docs.join(classes, docs["doc_id"] == classes[lowest], "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text")))
-    kept = kept.withColumn(place, first).filter(F.col(place) == 1).drop(place)
-    return kept.unionAll(docs.filter("doc_id IS NULL"))
+    """One document of each class, the one with the lowest doc_id. Rows without doc_id stay.
+
+    A row is known by 64 bits of its id and text, so rows that share an id are judged each by its text; of rows
+    with equal id and text one stays. A null text is nobody's copy. Columns of any name are kept as they are;
+    an empty table gives an empty result.
+    """
+    key = unused(docs.columns, "key")
+    keyed = docs.filter("doc_id IS NOT NULL").withColumn(key, F.xxhash64("doc_id", "text"))
+    classes = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).distinct()
+    ids = keyed.select(F.col(key).alias("row"), F.col("doc_id").alias("id"))
+    lowest = classes.join(ids, classes["doc_id"] == ids["row"]).groupBy("class_id").agg(F.min(F.struct("id", "row")).alias("low"))
+    kept = keyed.join(lowest.select(F.col("low.row").alias(key)), key, "left_semi").dropDuplicates([key])
+    return kept.select(*(column_of(kept, c) for c in docs.columns)).unionAll(docs.filter("doc_id IS NULL"))

@@ -21,7 +21,7 @@ from leafscore.llm.repeats import changes
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 # Distinct pre-tokens that a worker keeps the ids of; those longer than this many characters are not looked up.
-KEPT, LONG = 1 << 21, 200
+KEPT, LONG = 1 << 20, 200
 # Pre-tokens that are encoded as one string.
 _JOINED = 512
 

@@ -5,17 +5,19 @@ Both operators pick an anchor inside every window by its content alone, so equal
 documents have equal anchors at equal places. The windows of one anchor form a span. Spans come first
 (one row each), single windows only where spans differ:
 
-1. `judge_spans` sorts spans by the content at their anchor (range partitions by sampled splitters, the
+1. `judge_spans` sorts spans by the content at their anchor (ranges between sampled splitters, the
    document id being the last sort key, so that a hot anchor is spread over partitions). Of equal spans
    all but the smallest document's are repeats as a whole. Different spans with equal anchor content are
    to be resolved window by window, if they agree far enough to the right or to the left of the anchor to
    share one, and only the windows on that side. Groups at the border of a partition may go on in the next one: they are always resolved.
-2. `judge_windows` sorts the windows of the spans to resolve in the same way; a run of equal windows that
-   crosses a border is settled with the partitions' first and last keys (a few numbers per partition).
+2. `judge_windows` brings equal windows of the spans to resolve together, by hash. Before that every task
+   settles what it can: a window that it has seen in a smaller document is a repeat, and only the smallest
+   document's goes on. So a window that stands in very many documents is sent once per task's block.
 3. `removed` turns both into covered symbols.
 
-All positions are counted in symbols of the document (bytes or words). Rows that share a document id are
-told apart by 16 bits of their text's hash, carried with every position.
+Spans and windows travel as blocks of packed numbers, one row per task's block and partition, in which a
+document stands once for its run. All positions are counted in symbols of the document (bytes or words).
+Rows that share a document id are told apart by 64 bits of their text's hash.
 """
 
 from __future__ import annotations
@@ -24,35 +26,112 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from leafscore.llm.buffers import mix, running, span_hash, window_hash
-from leafscore.llm.store import column, shuffle_partitions, whole, written
-
-SPANS = "head long, tail int, span long, context long, doc_id long, loc long"
-WINDOWS = "w1 long, w2 long, doc_id long, loc long"
-_TAG_BITS, _LEN_BITS = 16, 8
-# Windows are handed on in batches of about this many rows.
-_ROWS = 1 << 18
-
-
-def pack(start: np.ndarray, length: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    """First window, number of windows (below 256) and the text's tag in one number."""
-    return (start.astype(np.int64) << (_TAG_BITS + _LEN_BITS)) | (tag.astype(np.int64) << _LEN_BITS) | length
-
-
-def unpack(loc: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first windows, numbers of windows) of the positions that carry this tag."""
-    loc = loc[(loc >> _LEN_BITS) & ((1 << _TAG_BITS) - 1) == tag]
-    return loc >> (_TAG_BITS + _LEN_BITS), loc & ((1 << _LEN_BITS) - 1)
-
+from leafscore.llm.buffers import mix, planes, running, span_hash, unplanes, window_hash
+from leafscore.llm.store import batch_of, shuffle_partitions, tidied, whole, written
+
+# (doc_id, tag, head, tail, span, context, loc) of some spans, as numpy columns; a document's are together.
+Found = tuple[np.ndarray, ...]
+_SPAN_KINDS = ("i8", "i4", "i8", "i8", "i8")
+_WINDOW_KINDS = ("i8", "i8", "i8")
+_RUNS = "part int, settled boolean, docs binary, tags binary, counts binary"
+_LEN_BITS = 8
+# Rows of a block, keys that are sampled for each partition, and documents they are taken from.
+_ROWS, _KEYS, _SAMPLED = 1 << 18, 64, 16
+
+
+def pack(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """First window and number of windows (below 256) in one number."""
+    return (start.astype(np.int64) << _LEN_BITS) | length
+
+
+def unpack(loc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first windows, numbers of windows)."""
+    return loc >> _LEN_BITS, loc & ((1 << _LEN_BITS) - 1)
+
+
+def tagged(rows: DataFrame) -> DataFrame:
+    """`rows` with 64 bits of the text's hash."""
+    return rows.withColumn("tag", F.xxhash64("text"))
+
+
+def _schema(kinds: tuple[str, ...]) -> str:
+    return ", ".join([_RUNS, *(f"c{i} binary" for i in range(len(kinds)))])
+
+
+def _blocks(part: np.ndarray, settled: bool, doc: np.ndarray, tag: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple]:
+    """One packed row per partition, from rows in which a document's are together."""
+    order = np.argsort(part, kind="stable")
+    part, doc, tag, columns = part[order], doc[order], tag[order], [c[order] for c in columns]
+    starts = np.flatnonzero(changes(part)) if len(part) else np.zeros(0, np.int64)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
+        first = np.flatnonzero(changes(doc[a:b], tag[a:b]))
+        counts = np.diff(np.append(first, b - a)).astype(np.uint32)
+        runs = (planes(x) for x in (doc[a:b][first], tag[a:b][first], counts))
+        yield int(part[a]), settled, *runs, *(planes(c[a:b]) for c in columns)
+
+
+def _unblocked(rows: pa.Table, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """(doc, tag, columns) of packed rows."""
+    found = []
+    for r in rows.to_pylist():
+        counts = unplanes(r["counts"], "u4")
+        runs = [np.repeat(unplanes(r[c], "i8"), counts) for c in ("docs", "tags")]
+        found.append([*runs, *(unplanes(r[f"c{i}"], k) for i, k in enumerate(kinds))])
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def _gathered(found: Iterator[Found]) -> Iterator[Found]:
+    """The same rows in blocks of about `_ROWS`."""
+    kept: list[Found] = []
+    for one in found:
+        kept.append(one)
+        if sum(len(k[0]) for k in kept) >= _ROWS:
+            yield tuple(np.concatenate(c) for c in zip(*kept))
+            kept = []
+    if kept:
+        yield tuple(np.concatenate(c) for c in zip(*kept))
+
+
+def _range_of(keys: list[np.ndarray], cuts: list[np.ndarray]) -> np.ndarray:
+    """How many of the sorted `cuts` are below each row, by several keys."""
+    low, high = (np.searchsorted(cuts[0], keys[0], side) for side in ("left", "right"))
+    at = np.flatnonzero(low < high)  # equal to a cut in the first key
+    keys, a, b = [k[at] for k in keys], low[at], high[at]
+    while (a < b).any():
+        middle = np.minimum((a + b) // 2, len(cuts[0]) - 1)
+        below, same = np.zeros(len(at), bool), np.ones(len(at), bool)
+        for key, cut in zip(keys, cuts):
+            below |= same & (cut[middle] < key)
+            same &= cut[middle] == key
+        open_ = a < b
+        a, b = np.where(open_ & below, middle + 1, a), np.where(open_ & ~below, middle, b)
+    low[at] = a
+    return low
+
+
+def _splitters(docs: DataFrame, n: int, find: Callable[[pa.RecordBatch], Iterator[Found]], partitions: int) -> list[np.ndarray]:
+    """Keys (head, tail, span, doc) between the ranges, from the spans of some of the n documents: a few numbers
+    per partition."""
+    share = min(1.0, _SAMPLED * partitions / max(1, n))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, _, head, tail, span, _, _ in find(batch):
+                columns = (head, tail.astype(np.int64), span, doc)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k0", "k1", "k2", "k3"])
 
-def text_tags(sums: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """16 bits of each text's hash."""
-    return (span_hash(sums, offsets[:-1], offsets[1:]) & np.uint64(0xFFFF)).astype(np.int64)
+    some = docs.sample(share, seed=7) if share < 1 else docs
+    found = some.mapInArrow(tidied(keys), "k0 long, k1 long, k2 long, k3 long")
+    found = found.orderBy(F.xxhash64("k0", "k1", "k2", "k3")).limit(_KEYS * partitions).toArrow()
+    columns = [found[c].to_numpy() for c in found.column_names]
+    order = np.lexsort(columns[::-1])
+    chosen = order[(np.arange(1, partitions) * len(order)) // partitions] if len(order) else order
+    return [c[chosen] for c in columns]
 
 
 def multikey_order(keys: list[np.ndarray]) -> np.ndarray:
@@ -127,10 +206,10 @@ def _judge(batches: Iterator[pa.RecordBatch], width: int, block: int) -> Iterato
     rows = whole(batches)
     if rows is None:
         return
-    names = ("head", "tail", "span", "doc_id", "context", "loc")
-    head, tail, span, doc, context, loc = (column(rows, c) for c in names)
+    columns = _unblocked(rows, _SPAN_KINDS)
+    doc, _, head, tail, span, _, _ = columns
     order = multikey_order([head, tail, span, doc])
-    head, tail, span, doc, context, loc = (x[order] for x in (head, tail, span, doc, context, loc))
+    doc, tag, head, tail, span, context, loc = (x[order] for x in columns)
     new_group = changes(head, tail)
     new_span = new_group | changes(span)
     first = np.flatnonzero(new_span)
@@ -148,74 +227,79 @@ def _judge(batches: Iterator[pa.RecordBatch], width: int, block: int) -> Iterato
     # Windows that begin at most `reach` before the anchor lie to its right, those from `half` on to its left.
     half = half_of(width, block)
     reach = width - block - half
-    start, count = loc >> (_TAG_BITS + _LEN_BITS), loc & ((1 << _LEN_BITS) - 1)
+    start, count = unpack(loc)
     before = context & 0xFF
     skipped = np.where(left[run], 0, np.clip(before - reach, 0, count))
     cut = np.where(right[run], 0, np.clip(half - (before - count + 1), 0, count))
     kept = repeat | ((right | left)[run] & (skipped + cut < count))
     skipped, cut = np.where(repeat, 0, skipped), np.where(repeat, 0, cut)
-    loc = pack(start + skipped, count - skipped - cut, loc >> _LEN_BITS & ((1 << _TAG_BITS) - 1))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(doc[kept]), pa.array(loc[kept]), pa.array(repeat[kept])], names=["doc_id", "loc", "repeat"]
-    )
+    loc = pack(start + skipped, count - skipped - cut)
+    yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (doc, tag, loc, repeat)], names=["doc_id", "tag", "loc", "repeat"])
+
 
+def judge_spans(docs: DataFrame, n: int, find: Callable[[pa.RecordBatch], Iterator[Found]], width: int, block: int) -> DataFrame:
+    """Rows (doc_id, tag, loc, repeat): spans that are repeats as a whole, and (false) what is to resolve.
 
-def judge_spans(spans: DataFrame, width: int, block: int) -> DataFrame:
-    """Rows (doc_id, loc, repeat): spans that are repeats as a whole, and (false) what is to resolve."""
+    `find` gives the spans of a batch of rows of `docs`, which come from n documents.
+    """
+    partitions = shuffle_partitions(docs.sparkSession)
+    cuts = _splitters(docs, n, find, partitions)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, tag, *columns in _gathered(f for batch in batches for f in find(batch)):
+            part = _range_of([*columns[:3], doc], cuts) if len(cuts[0]) else np.zeros(len(doc), np.int64)
+            yield batch_of(list(_blocks(part.astype(np.int32), False, doc, tag, columns)), _schema(_SPAN_KINDS))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _judge(batches, width, block)
 
-    partitions = shuffle_partitions(spans.sparkSession)
-    ranged = spans.repartitionByRange(partitions, "head", "tail", "span", "doc_id")
-    return written(ranged.mapInArrow(judge, "doc_id long, loc long, repeat boolean"), "spans")
+    ranged = docs.mapInArrow(tidied(send), _schema(_SPAN_KINDS)).repartitionById(partitions, F.col("part"))
+    return written(ranged.mapInArrow(tidied(judge), "doc_id long, tag long, loc long, repeat boolean"), "spans")
 
 
-_COMPARED = "doc_id long, loc long, kind int, bucket int, f1 long, f2 long, l1 long, l2 long, low long, runs long"
-_REPEAT, _PENDING, _BORDER = 0, 1, 2
+def _beyond_first(w1: np.ndarray, w2: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which windows also stand in a smaller document of these."""
+    order = multikey_order([w1, w2, doc])
+    new = changes(w1[order], w2[order])
+    out = np.empty(len(doc), bool)
+    out[order] = doc[order] > doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return out
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = whole(batches)
     if rows is None:
         return
-    bucket = TaskContext.get().partitionId()
-    w1, w2, doc, loc = (column(rows, c) for c in ("w1", "w2", "doc_id", "loc"))
-    order = multikey_order([w1, w2, doc])
-    w1, w2, doc, loc = (x[order] for x in (w1, w2, doc, loc))
-    new = changes(w1, w2)
-    run = np.cumsum(new) - 1
-    low = doc[np.flatnonzero(new)]
-    repeat = doc > low[run]
-    pending = (run == 0) & ~repeat
-    kept = np.flatnonzero(repeat | pending)
-    n = len(kept) + 1
-
-    def filled(value) -> np.ndarray:
-        return np.full(n, value, np.int64)
-
-    kind = np.append(np.where(pending[kept], _PENDING, _REPEAT), _BORDER).astype(np.int32)
-    columns = [np.append(doc[kept], 0), np.append(loc[kept], 0), kind, filled(bucket).astype(np.int32)]
-    columns += [filled(v) for v in (w1[0], w2[0], w1[-1], w2[-1], low[-1], run[-1] + 1)]
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in _COMPARED.split(", ")])
-
-
-def judge_windows(windows: DataFrame) -> DataFrame:
-    """Rows (doc_id, loc): windows that also stand in a document with a smaller id."""
-    spark = windows.sparkSession
-    ranged = windows.repartitionByRange(shuffle_partitions(spark), "w1", "w2", "doc_id")
-    rows = written(ranged.mapInArrow(_compare, _COMPARED), "windows")
-    # One row per partition: the run at its start may have begun in an earlier one.
-    borders = rows.filter(F.col("kind") == _BORDER).select("bucket", "f1", "f2", "l1", "l2", "low", "runs").collect()
-    carried, last, low = [], None, None
-    for b in sorted(borders, key=lambda b: (b.f1, b.f2, b.bucket)):
-        if last == (b.f1, b.f2):
-            carried.append((b.bucket, low))
-        if last != (b.l1, b.l2):
-            last, low = (b.l1, b.l2), b.low
-    before = F.broadcast(spark.createDataFrame(carried, "bucket int, before long"))  # at most one row per partition
-    pending = rows.filter(F.col("kind") == _PENDING).join(before, "bucket").filter(F.col("doc_id") > F.col("before"))
-    return rows.filter(F.col("kind") == _REPEAT).select("doc_id", "loc").unionAll(pending.select("doc_id", "loc"))
+    done = rows.column("settled").combine_chunks()
+    for part, settled in ((rows.filter(done), True), (rows.filter(pc.invert(done)), False)):
+        if not part.num_rows:
+            continue
+        doc, tag, loc, *hashes = _unblocked(part, _WINDOW_KINDS[:1] if settled else _WINDOW_KINDS)
+        kept = np.ones(len(doc), bool) if settled else _beyond_first(*hashes, doc)
+        yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (doc, tag, loc)], names=["doc_id", "tag", "loc"])
+
+
+def judge_windows(opened: DataFrame, find: Callable[[pa.RecordBatch], Iterator[tuple]]) -> DataFrame:
+    """Rows (doc_id, tag, loc): windows that also stand in a document with a smaller id.
+
+    `find` gives (doc, tag, w1, w2, loc) of the windows of a batch of `opened`.
+    """
+    partitions = shuffle_partitions(opened.sparkSession)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc, tag, w1, w2, loc in _gathered(f for batch in batches for f in find(batch)):
+            settled = _beyond_first(w1, w2, doc)
+            blocks = []
+            # Settled windows go anywhere, a document's to one place; the others to the place of their hash.
+            for mine, key in ((settled, mix((doc ^ tag).view(np.uint64))), (~settled, w1.view(np.uint64))):
+                part = (((key[mine] >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)).astype(np.int32)
+                columns = [loc[mine]] if mine is settled else [loc[mine], w1[mine], w2[mine]]
+                rows = _blocks(part, mine is settled, doc[mine], tag[mine], columns)
+                blocks += [(*r, b"", b"") for r in rows] if mine is settled else rows
+            yield batch_of(blocks, _schema(_WINDOW_KINDS))
+
+    dealt = opened.mapInArrow(tidied(send), _schema(_WINDOW_KINDS)).repartitionById(partitions, F.col("part"))
+    return written(dealt.mapInArrow(tidied(_compare), "doc_id long, tag long, loc long"), "windows")
 
 
 def removed(
@@ -229,39 +313,22 @@ def removed(
     """One row of `fields` per row of `docs`: what `finish` makes of the row and the mask of its covered
     symbols (None: nothing is covered).
 
-    `docs` has doc_id, text and whatever `finish` needs; `symbols(batch)` gives (symbol values, offsets
+    `docs` has doc_id, tag, text and whatever `finish` needs; `symbols(batch)` gives (symbol values, offsets
     of the rows' symbols). `judged` comes from `judge_spans`.
     """
 
-    def tagged(batch: pa.RecordBatch):
-        values, offsets = symbols(batch)
-        return values, offsets, text_tags(running(values), offsets)
-
-    def to_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts, n = [], 0
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                values, _, tags = tagged(one)
-                start, count = unpack(one.column("open_at").values.to_numpy()[_bounds(one, "open_at")], tags[0])
-                if not len(start):
-                    continue
-                at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
-                w1 = window_hash(running(values), width)[at]
-                w2 = window_hash(running(mix(values.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D))), width)[at]
-                loc = pack(at, np.ones(len(at), np.int64), np.full(len(at), tags[0]))
-                doc = np.full(len(at), one.column("doc_id")[0].as_py())
-                parts.append((w1.view(np.int64), w2.view(np.int64), doc, loc))
-                n += len(at)
-                if n > _ROWS:
-                    yield joined_parts(parts)
-                    parts, n = [], 0
-            if parts:
-                yield joined_parts(parts)
-
-    def joined_parts(parts: list) -> pa.RecordBatch:
-        columns = [pa.array(np.concatenate(c)) for c in zip(*parts)]
-        return pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "doc_id", "loc"])
+    def windows_in(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for i in range(batch.num_rows):
+            one = batch.slice(i, 1)
+            values, _ = symbols(one)
+            start, count = unpack(one.column("open_at").values.to_numpy()[_bounds(one, "open_at")])
+            if not len(start):
+                continue
+            at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+            w1 = window_hash(running(values), width)[at]
+            w2 = window_hash(running(mix(values.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D))), width)[at]
+            doc, tag = (np.full(len(at), one.column(c)[0].as_py()) for c in ("doc_id", "tag"))
+            yield doc, tag, w1.view(np.int64), w2.view(np.int64), pack(at, np.ones(len(at), np.int64))
 
     def to_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,23 +344,22 @@ def removed(
     def covered(one: pa.RecordBatch, found: list[np.ndarray]) -> np.ndarray | None:
         if not found:
             return None
-        values, _, tags = tagged(one)
+        values, _ = symbols(one)
         edge = np.zeros(len(values) + 1, np.int64)
         for loc in found:
-            start, count = unpack(loc, tags[0])
+            start, count = unpack(loc)
             np.add.at(edge, start, 1)
             np.add.at(edge, start + count + width - 1, -1)
         return np.cumsum(edge[:-1]) > 0
 
-    is_open = ~F.col("repeat")
-    to_resolve = judged.filter(is_open).groupBy("doc_id").agg(F.collect_list("loc").alias("open_at"))
-    opened = docs.select("doc_id", "text").join(to_resolve, "doc_id")
-    windows = written(judge_windows(opened.mapInArrow(to_windows, WINDOWS)), "repeated")
-    # Distinct: rows that share a document id and text find the same windows.
-    spans_at = judged.filter("repeat").groupBy("doc_id").agg(F.collect_set("loc").alias("spans_at"))
-    windows_at = windows.groupBy("doc_id").agg(F.collect_set("loc").alias("windows_at"))
-    joined = docs.join(spans_at, "doc_id", "left").join(windows_at, "doc_id", "left")
-    return joined.mapInArrow(to_rows, from_arrow_schema(fields))
+    # By id and text: a group is one text's, however many rows share its id.
+    text = ["doc_id", "tag"]
+    to_resolve = judged.filter(~F.col("repeat")).groupBy(text).agg(F.collect_set("loc").alias("open_at"))
+    windows = judge_windows(docs.select("doc_id", "tag", "text").join(to_resolve, text), windows_in)
+    spans_at = judged.filter("repeat").groupBy(text).agg(F.collect_set("loc").alias("spans_at"))
+    windows_at = windows.groupBy(text).agg(F.collect_set("loc").alias("windows_at"))
+    joined = docs.join(spans_at, text, "left").join(windows_at, text, "left")
+    return joined.mapInArrow(tidied(to_rows), from_arrow_schema(fields))
 
 
 def _bounds(one: pa.RecordBatch, name: str) -> slice:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import cache
 from pathlib import Path
@@ -70,6 +71,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tidied(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`work` on a partition; what it has freed goes back to the machine at its end, since Spark keeps Python
+    workers for the next stages, which may be other work."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     """All batches of one partition, or None if it has no rows. The partition's size is the cluster's setting."""
     kept = [b for b in batches if b.num_rows]

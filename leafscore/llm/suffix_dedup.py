@@ -5,11 +5,13 @@ array is sparse: inside every window of `width` bytes one suffix is chosen by co
 whose `BLOCK` leading bytes have the lowest hash), about one byte in twenty. Equal windows choose the
 same suffix, so two documents share a window only if they have suffixes with equal leading bytes.
 
-* Spark samples splitters from these suffixes and range-partitions them by their leading bytes, ties by
-  span and document id: a very common passage is spread over partitions.
-* Each partition sorts its suffixes by multikey quicksort (first the leading eight bytes, then only the
-  ties by the next four, and so on) and compares neighbours; what touches its border is compared in the
-  second round, together with windows that are shared only in part.
+* Splitters are sampled from the suffixes of some documents, and all suffixes are dealt to the ranges between
+  them by their leading bytes, ties by a hash of their span and the document id: a very common passage is
+  spread over partitions.
+* Each partition sorts its suffixes key by key (first the leading eight bytes, then only the ties by the next
+  four, and so on, by numpy's sorts and not by a quicksort of characters) and compares equal ones by hashes of
+  what stands beside them; what touches its border is compared in the second round, together with windows that
+  are shared only in part.
 
 See `repeats` for the two rounds. Nothing is capped; a task holds the rows of one range partition.
 """
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from leafscore.llm.buffers import mix, pieces, running, runs, sliding_first_min, text_bytes, window_hash
-from leafscore.llm.repeats import SPANS, governed, judge_spans, pack, removed, span_columns, text_tags
+from leafscore.llm.repeats import Found, governed, judge_spans, pack, removed, span_columns, tagged
 from leafscore.llm.store import column_of
 
 # Bytes of a shared string, and of the leading bytes by which suffixes are sorted.
@@ -49,37 +51,35 @@ def _leading(data: np.ndarray, at: np.ndarray, first: int, count: int) -> np.nda
     return value
 
 
-def suffixes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Rows (head, tail, span, context, doc_id, loc): the chosen suffixes of all texts."""
+def suffixes_in(width: int = WIDTH):
+    """The chosen suffixes of rows (doc_id, tag, text), with the spans of windows that choose them."""
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                data, offsets = text_bytes(piece.column("text"))
-                sums = running(_SYMBOLS[data])
-                hashes = window_hash(sums, BLOCK)
-                if len(hashes) < width - BLOCK + 1:
-                    continue
-                place = sliding_first_min(hashes, width - BLOCK + 1)
-                start, count, anchor, doc = governed(place, offsets, width)
-                span, context = span_columns(sums, offsets, start, count, anchor, doc, width, BLOCK)
-                loc = pack(start - offsets[doc], count, text_tags(sums, offsets)[doc])
-                head = _leading(data, anchor, 0, 8).view(np.int64)
-                tail = _leading(data, anchor, 8, BLOCK - 8).astype(np.uint32).view(np.int32)
-                ids = piece.column("doc_id").to_numpy()[doc]
-                columns = [pa.array(c) for c in (head, tail, span, context, ids, loc)]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SPANS.split(", ")])
+    def choose(batch: pa.RecordBatch) -> Iterator[Found]:
+        for piece in pieces(batch, "text"):
+            data, offsets = text_bytes(piece.column("text"))
+            sums = running(_SYMBOLS[data])
+            hashes = window_hash(sums, BLOCK)
+            if len(hashes) < width - BLOCK + 1:
+                continue
+            place = sliding_first_min(hashes, width - BLOCK + 1)
+            start, count, anchor, doc = governed(place, offsets, width)
+            span, context = span_columns(sums, offsets, start, count, anchor, doc, width, BLOCK)
+            head = _leading(data, anchor, 0, 8).view(np.int64)
+            tail = _leading(data, anchor, 8, BLOCK - 8).astype(np.uint32).view(np.int32)
+            ids, tags = (piece.column(c).to_numpy()[doc] for c in ("doc_id", "tag"))
+            yield ids, tags, head, tail, span, context, pack(start - offsets[doc], count)
 
-    named = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return named.select(F.col("doc_id").cast("long"), "text").mapInArrow(choose, SPANS)
+    return choose
 
 
 def remove_repeats(docs: DataFrame, finish, fields: pa.Schema, columns: list[str], width: int = WIDTH) -> DataFrame:
     """What `finish(row, mask)` makes of every row, where the mask tells the bytes to remove. The row has
     doc_id, text, and the named columns as c0, c1, ..."""
     others = [column_of(docs, c).alias(f"c{i}") for i, c in enumerate(columns)]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), *others)
-    return removed(rows, judge_spans(suffixes(rows, width), width, BLOCK), width, _symbols, finish, fields)
+    rows = tagged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), *others))
+    named = rows.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "tag", "text")
+    judged = judge_spans(named, docs.count(), suffixes_in(width), width, BLOCK)
+    return removed(rows, judged, width, _symbols, finish, fields)
 
 
 def _kept(row: pa.RecordBatch, mask: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:

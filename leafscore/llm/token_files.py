@@ -7,8 +7,8 @@ so numpy finds the lengths of a whole block by one table look-up per control byt
 
 A file holds blocks in order: part and block number, the number of ids before the block, the doc_ids and
 lengths of its documents, control bytes, data bytes. Files are Parquet, written and read by Spark, so they
-may lie in any store it reaches. A block holds about `BLOCK_IDS` ids and whole documents; the running
-numbers come from sums per part and, within it, per block.
+may lie in any store it reaches. A block holds about `BLOCK_IDS` ids and whole documents. The encoder counts
+ids within a part, a sum per part gives what lies before it: ids are never moved again.
 """
 
 from __future__ import annotations
@@ -21,18 +21,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafscore.llm.buffers import pieces
-from leafscore.llm.store import batch_of, shuffle_partitions, written
+from leafscore.llm.store import batch_of, shuffle_partitions, tidied, written
 from leafscore.llm.tokenizers import library_encoder
 from leafscore.session import fresh_path
 
 END = 2
 BLOCK_IDS = 1 << 18
 
-_BLOCKS = "part int, block int, n long, docs binary, lengths binary, ids binary"
+_BLOCKS = "part int, block int, inside long, n long, docs binary, lengths binary, ids binary"
 _FILES = "part int, block int, start long, n long, docs binary, lengths binary, control binary, data binary"
 _ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 # A doc_id that is null.
@@ -74,11 +74,11 @@ def encoded_blocks(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, number = library_encoder(tokenizer), TaskContext.get().partitionId(), 0
-        docs, lengths, ids, n = [], [], [], 0
+        docs, lengths, ids, n, inside = [], [], [], 0, 0
 
         def block() -> pa.RecordBatch:
             columns = (np.concatenate(c) for c in (docs, lengths, ids))
-            return batch_of([(part, number, n, *(c.tobytes() for c in columns))], _BLOCKS)
+            return batch_of([(part, number, inside, n, *(c.tobytes() for c in columns))], _BLOCKS)
 
         for batch in batches:
             for piece in pieces(batch, "text"):
@@ -90,13 +90,13 @@ def encoded_blocks(docs: DataFrame, tokenizer: str) -> DataFrame:
                 n += len(closed)
                 if n >= BLOCK_IDS:
                     yield block()
-                    docs, lengths, ids, n, number = [], [], [], 0, number + 1
+                    docs, lengths, ids, n, number, inside = [], [], [], 0, number + 1, inside + n
         if docs:
             yield block()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     ranged = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    return written(ranged.mapInArrow(encode, _BLOCKS), "ids")
+    return written(ranged.mapInArrow(tidied(encode), _BLOCKS), "ids")
 
 
 def _ids(row: dict) -> np.ndarray:
@@ -130,10 +130,7 @@ def write_files(docs: DataFrame, tokenizer: str, path: str) -> None:
     spark.createDataFrame([(by_rank.tobytes(),)], "ids binary").coalesce(1).write.parquet(f"{path}/ids")
 
     parts = sorted((r["part"], r["n"]) for r in blocks.groupBy("part").agg(F.sum("n").alias("n")).collect())  # one row per partition
-    before = spark.createDataFrame([(p, b) for (p, _), b in zip(parts, accumulate((n for _, n in parts), initial=0))], "part int, before long")
-    earlier = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("part", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("inside"))
-    starts = starts.join(F.broadcast(before), "part").select("part", "block", (F.col("inside") + F.col("before")).alias("start"))
+    before = dict(zip((p for p, _ in parts), accumulate((n for _, n in parts), initial=0)))
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     sent = spark.sparkContext.broadcast(rank)  # one number per id of the vocabulary
@@ -142,11 +139,9 @@ def write_files(docs: DataFrame, tokenizer: str, path: str) -> None:
         for batch in batches:
             for row in batch.to_pylist():
                 control, data = pack(sent.value[_ids(row)])
-                yield batch_of([(row["part"], row["block"], row["start"], row["n"], row["docs"], row["lengths"], control, data)], _FILES)
+                yield batch_of([(row["part"], row["block"], before[row["part"]] + row["inside"], row["n"], row["docs"], row["lengths"], control, data)], _FILES)
 
-    spread = blocks.join(starts, ["part", "block"]).select("part", "block", "start", "n", "docs", "lengths", "ids")
-    written_ids = spread.mapInArrow(compress, _FILES)
-    written_ids.write.option("compression", "none").parquet(f"{path}/blocks")
+    blocks.mapInArrow(tidied(compress), _FILES).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def read_files(spark, path: str) -> DataFrame:

@@ -43,7 +43,8 @@ def test_one_document_of_each_class_stays(odd_docs):
     kept = keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
     ids = sorted(r.doc_id for r in kept.filter("doc_id IS NOT NULL").collect())
-    assert ids == [1, 4, 5, 6, 7, 8, 10, 11, 12, 14, 15, 16, 17, 19, 20, 21, 22, 23]
+    # 19 and 20 have two rows each, of different texts: nobody's copies.
+    assert ids == [1, 4, 5, 6, 7, 8, 10, 11, 12, 14, 15, 16, 17, 19, 19, 20, 20, 21, 22, 23]
     assert kept.filter("doc_id IS NULL").count() == 2
 
 
@@ -69,3 +70,13 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 50)} | {204: 203, 205: 203}
     assert got == want
     assert components(spark.createDataFrame([], "a bigint, b bigint")).select(F.col("id")).collect() == []
+
+
+def test_stage_judges_rows_of_one_id_each_by_its_text(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(80)) for _ in range(4)]
+    rows = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (2, texts[2]), (3, texts[2]), (3, None), (4, texts[3]), (4, texts[3]), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = keep_one(docs.withColumns({c: docs["doc_id"] for c in ("key", "row", "id", "low")}))
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    assert got == [(None, texts[0]), (1, texts[0]), (2, min(texts[1], texts[2])), (2, max(texts[1], texts[2])), (3, None), (4, texts[3])]

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from leafscore.llm.block_dedup import block_report
-from leafscore.llm.repeats import multikey_order
+from leafscore.llm.repeats import _range_of, multikey_order
 from leafscore.llm.suffix_dedup import remove_shared, suffix_report
 
 
@@ -61,3 +61,25 @@ def test_multikey_order_sorts_by_all_keys(rows):
     keys = [np.array([r[i] for r in rows], np.int64) for i in range(3)]
     order = multikey_order(keys)
     assert [rows[i] for i in order] == sorted(rows)
+
+
+@pytest.mark.parametrize("report,brute", [(suffix_report, bytes_left), (block_report, words_left)])
+def test_rows_of_one_id_are_judged_each_by_its_own_text(spark, report, brute):
+    """Hundreds of texts under one id, of which a few hold a passage of an earlier document."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    passage = " ".join(rng.choices(words, k=70))
+    rows = [(1, passage)]
+    for i in range(700):
+        own = " ".join(rng.choices(words, k=60))
+        rows.append((2, f"{own} {passage}" if i % 100 == 0 else own))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert plain(report(docs).collect()) == plain(brute(rows, 50))
+
+
+def test_ranges_follow_the_order_of_all_keys():
+    rng = np.random.default_rng(1)
+    rows = rng.integers(0, 4, (500, 4))
+    cuts = rows[np.lexsort(rows[:60].T[::-1])][::3]
+    found = _range_of([c for c in rows.T], [c for c in cuts.T])
+    assert found.tolist() == [sum(tuple(c) < tuple(r) for c in cuts.tolist()) for r in rows.tolist()]
