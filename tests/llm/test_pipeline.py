@@ -57,4 +57,4 @@ def test_odd_rows_pass_all_stages(spark, sf, odd_docs, no_docs):
 
 def test_all_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
