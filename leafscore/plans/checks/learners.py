@@ -34,14 +34,10 @@ def _shown(df):
 
 
 def ridge_oof(spark, sf):
-    return _shown(linear.ridge_oof(_folded(spark, sf), ["x1", "x2"], "y"))
+    return _shown(linear.ridge_oof(_folded(spark, sf), FEATURES, "y"))
 
 
 def ard_oof(spark, sf):
-    return _shown(linear.ard_oof(_folded(spark, sf), ["x1"], "y"))
-
-
-def ard_oof_three(spark, sf):
     return _shown(linear.ard_oof(_folded(spark, sf), FEATURES, "y"))
 
 
@@ -74,7 +70,7 @@ DRAWS = 20
 
 
 def search_ard(spark, sf):
-    moments = fold_moments(_folded(spark, sf), ["x1", "y"], "fold")
+    moments = fold_moments(_folded(spark, sf), [*FEATURES, "y"], "fold")
     found = linear.search_ard(moments, linear.draw_priors(spark, DRAWS, 2021))
     return found.select("draw", F.round("rmse", 6).alias("rmse"))
 
@@ -107,15 +103,15 @@ def stack(spark, sf):
     """Both linear learners: out of fold on labelled documents, fold mean on the others."""
     known, unseen = _labelled_parts(spark, sf)
     known = materialise(folds.kfold(known, "id", 5, 1000), "known")
-    done = stacking.stack(known, unseen, ["x1"], "y", 5, ["ard", "ridge"])
+    done = stacking.stack(known, unseen, FEATURES, "y", 5, ["ard", "ridge"])
     columns = ["id", *[F.round(c, 6).alias(c) for c in ("ard", "ridge", "blend")]]
     return done.oof.select(*columns).unionByName(done.unseen.select(*columns))
 
 
 def pseudo_label(spark, sf):
     known, unseen = _labelled_parts(spark, sf)
-    known = known.select("id", "x1", F.col("y").alias("target"), F.col("x3").alias("standard_error"))
-    done = pseudo.pseudo_oof(known, unseen.select("id", "x1"), ["x1"], 5, 1000)
+    known = known.select("id", *FEATURES, F.col("y").alias("target"), F.col("x3").alias("standard_error"))
+    done = pseudo.pseudo_oof(known, unseen.select("id", *FEATURES), FEATURES, 5, 1000)
     return done.select(
         "id", "fold", F.round("target", 6).alias("target"), F.round("pred_target", 6).alias("pred_target")
     )
@@ -170,7 +166,7 @@ QUERIES = {
     "ridge_vectors": ridge_vectors,
     "fit_head": fit_head,
     "ard_oof": ard_oof,
-    "ard_oof_three": ard_oof_three,
+    "ard_oof_three": ard_oof,
     "search_ard": search_ard,
     "svd_project": svd_project,
     "svd_leading": svd_leading,
@@ -183,75 +179,110 @@ QUERIES = {
 }
 
 
+_PLACES = [(1, 1), (1, 2), (1, 3), (2, 2), (2, 3), (3, 3)]
+_STATE = ", ".join(["n", "m1", "m2", "m3", "my", *(f"s{i}{j}" for i, j in _PLACES), "q1", "q2", "q3", "syy"])
+
+
 def _rest_cte(name: str, source: str, y: str = "y") -> str:
-    """CTE (fold, n, mx, my, sxx, sxy, syy): centred moments of x1 and y over the rows outside each fold."""
+    """CTE of the moments of x1, x2, x3 and y over the rows outside each fold: n, means m, centred sums of
+    products s (of features), q (with y) and syy."""
+    means = ", ".join(f"avg(x{i}) AS m{i}" for i in (1, 2, 3))
+    sums = ", ".join(f"count(*) * covar_pop(x{i}, x{j}) AS s{i}{j}" for i, j in _PLACES)
+    with_y = ", ".join(f"count(*) * covar_pop(x{i}, y) AS q{i}" for i in (1, 2, 3))
     return f"""
 {name}_pairs AS (
-  SELECT f.fold, s.x1, s.{y} AS y FROM {source} s JOIN (SELECT DISTINCT fold FROM {source}) f
+  SELECT f.fold, s.x1, s.x2, s.x3, s.{y} AS y FROM {source} s JOIN (SELECT DISTINCT fold FROM {source}) f
   ON s.fold <> f.fold),
 {name} AS (
-  SELECT fold, count(*) AS n, avg(x1) AS mx, avg(y) AS my, count(*) * var_pop(x1) AS sxx,
-         count(*) * covar_pop(x1, y) AS sxy, count(*) * var_pop(y) AS syy
+  SELECT fold, count(*) AS n, {means}, avg(y) AS my, {sums}, {with_y}, count(*) * var_pop(y) AS syy
   FROM {name}_pairs GROUP BY fold)"""
 
 
+def _solved(source: str) -> str:
+    """`source` with w, the solution of a w = b for a symmetric 3 x 3 matrix, and the inverse's diagonal i."""
+    return f"""(
+    SELECT *, (c11 * b1 + c12 * b2 + c13 * b3) / det AS w1, (c12 * b1 + c22 * b2 + c23 * b3) / det AS w2,
+           (c13 * b1 + c23 * b2 + c33 * b3) / det AS w3, c11 / det AS i1, c22 / det AS i2, c33 / det AS i3
+    FROM (SELECT *, a11 * c11 + a12 * c12 + a13 * c13 AS det FROM (
+      SELECT *, a22 * a33 - a23 * a23 AS c11, a13 * a23 - a12 * a33 AS c12, a12 * a23 - a13 * a22 AS c13,
+             a11 * a33 - a13 * a13 AS c22, a12 * a13 - a11 * a23 AS c23, a11 * a22 - a12 * a12 AS c33
+      FROM {source})))"""
+
+
+_BIAS = "my - w1 * m1 - w2 * m2 - w3 * m3 AS b"
+_SCORE = "w1 * x1 + w2 * x2 + w3 * x3 + b"
+
+
 def _ridge_cte(name: str, rest: str) -> str:
-    return f"{name} AS (SELECT fold, sxy / (sxx + 10) AS w, my - sxy / (sxx + 10) * mx AS b FROM {rest})"
+    matrix = ", ".join(f"s{i}{j}{' + 10' * (i == j)} AS a{i}{j}" for i, j in _PLACES)
+    source = f"(SELECT *, {matrix}, q1 AS b1, q2 AS b2, q3 AS b3 FROM {rest})"
+    return f"{name} AS (SELECT fold, w1, w2, w3, {_BIAS} FROM {_solved(source)})"
+
+
+def _posterior(source: str) -> str:
+    """The weights of an ARD state; a weight whose precision p has reached 1e4 is left out."""
+    live = ", ".join(f"CASE WHEN p{i} < 1e4 THEN 1.0e0 ELSE 0.0e0 END AS l{i}" for i in (1, 2, 3))
+    diagonal = {i: f" + CASE WHEN p{i} < 1e4 THEN p{i} ELSE 1 END" for i in (1, 2, 3)}
+    matrix = ", ".join(f"l{i} * l{j} * noise * s{i}{j}{diagonal[i] if i == j else ''} AS a{i}{j}" for i, j in _PLACES)
+    right = ", ".join(f"l{i} * noise * q{i} AS b{i}" for i in (1, 2, 3))
+    return _solved(f"(SELECT *, {matrix}, {right} FROM (SELECT *, {live} FROM {source}))")
 
 
 def _ard_cte(name: str, rest: str, keys: str = "fold", priors: dict | None = None) -> str:
-    """ARD with one feature, update by update. The state after the last update gives the weight."""
+    """ARD with three features, update by update. The state after the last update gives the weights."""
     p = priors or {k: repr(v) for k, v in vars(linear.ArdPriors()).items()}
     carried = ", ".join(dict.fromkeys([*keys.split(", "), *([] if not priors else priors.values())]))
+    names = (1, 2, 3)
+    residual = (
+        "syy - 2 * (w1 * q1 + w2 * q2 + w3 * q3) + w1 * w1 * s11 + w2 * w2 * s22 + w3 * w3 * s33 "
+        "+ 2 * (w1 * w2 * s12 + w1 * w3 * s13 + w2 * w3 * s23)"
+    )
+    known = " + ".join(f"l{i} * (1 - p{i} * i{i})" for i in names)
+    updated = ", ".join(
+        f"CASE WHEN p{i} < 1e4 THEN (1 - p{i} * i{i} + 2 * {p['lambda_1']}) / (w{i} * w{i} + 2 * {p['lambda_2']}) ELSE p{i} END AS u{i}"
+        for i in names
+    )
+    moved = " + ".join(f"abs(CASE WHEN u{i} < 1e4 THEN w{i} ELSE 0 END - v{i})" for i in names)
+    kept = ", ".join(f"CASE WHEN u{i} < 1e4 THEN w{i} ELSE 0 END" for i in names)
     return f"""
 {name}_it AS (
-  SELECT {carried}, n, mx, my, sxx, sxy, syy, 0 AS step, 1 / (syy / n + 2.220446049250313e-16) AS noise,
-         1.0e0 AS prec, CAST(NULL AS DOUBLE) AS last, FALSE AS done, FALSE AS pruned
-  FROM {rest}
+  SELECT {carried}, {_STATE}, 0 AS step, 1 / (syy / n + 2.220446049250313e-16) AS noise,
+         1.0e0 AS p1, 1.0e0 AS p2, 1.0e0 AS p3, 0.0e0 AS v1, 0.0e0 AS v2, 0.0e0 AS v3, FALSE AS done FROM {rest}
   UNION ALL
-  SELECT {carried}, n, mx, my, sxx, sxy, syy, step + 1,
-         (n - known + 2 * {p['alpha_1']}) / (syy - 2 * w * sxy + w * w * sxx + 2 * {p['alpha_2']}),
-         (known + 2 * {p['lambda_1']}) / (w * w + 2 * {p['lambda_2']}),
-         w, (step > 0 AND abs(w - last) < 1e-3) OR (known + 2 * {p['lambda_1']}) / (w * w + 2 * {p['lambda_2']}) >= 1e4,
-         (known + 2 * {p['lambda_1']}) / (w * w + 2 * {p['lambda_2']}) >= 1e4
-  FROM (SELECT *, noise * sxy / (prec + noise * sxx) AS w, 1 - prec / (prec + noise * sxx) AS known
-        FROM {name}_it WHERE NOT done AND step < 300)),
+  SELECT {carried}, {_STATE}, step + 1, louder, u1, u2, u3, {kept},
+         (u1 >= 1e4 AND u2 >= 1e4 AND u3 >= 1e4) OR (step > 0 AND {moved} < 1e-3)
+  FROM (SELECT *, {updated}, (n - ({known}) + 2 * {p['alpha_1']}) / ({residual} + 2 * {p['alpha_2']}) AS louder
+        FROM {_posterior(f"(SELECT * FROM {name}_it WHERE NOT done AND step < 300)")})),
 {name} AS (
-  SELECT *, my - w * mx AS b FROM (
-    SELECT *, CASE WHEN pruned THEN 0 ELSE noise * sxy / (prec + noise * sxx) END AS w FROM {name}_it
-    WHERE TRUE QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY step DESC) = 1))"""
+  SELECT *, {_BIAS} FROM {_posterior(f"(SELECT * FROM {name}_it WHERE TRUE QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY step DESC) = 1)")})"""
 
 
 _FOLDED_SQL = f"{DOCREG_SQL}, folded AS (SELECT *, {fold_sql('id', 5, 1000)} AS fold FROM docreg)"
 
 _DRAW_SQL = ", ".join(
     f"pow(10.0e0, {float(np.log10(low))!r}::DOUBLE + ('0x' || substr(md5('2021:' || draw), {8 * i + 1}, 8))::BIGINT "
-    f"/ 4294967296.0::DOUBLE * {float(np.log10(high) - np.log10(low))!r}::DOUBLE) AS p{i}"
+    f"/ 4294967296.0::DOUBLE * {float(np.log10(high) - np.log10(low))!r}::DOUBLE) AS prior{i}"
     for i, (low, high) in enumerate(linear.SEARCH_RANGES.values())
 )
-_DRAWN = {name: f"p{i}" for i, name in enumerate(linear.SEARCH_RANGES)}
+_DRAWN = {name: f"prior{i}" for i, name in enumerate(linear.SEARCH_RANGES)}
+
+_ARD_SQL = f"""
+WITH RECURSIVE {_FOLDED_SQL}, {_rest_cte('rest', 'folded')}, {_ard_cte('ard', 'rest')}
+SELECT id, fold, round({_SCORE}, 6) AS pred FROM folded JOIN (SELECT fold, w1, w2, w3, b FROM ard) USING (fold)"""
 
 ORACLES = {
     "ridge_oof": f"""
-WITH {_FOLDED_SQL},
-pairs AS (SELECT f.fold, s.x1, s.x2, s.y FROM folded s JOIN (SELECT DISTINCT fold FROM folded) f ON s.fold <> f.fold),
-s AS (
-  SELECT fold, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, count(*) * var_pop(x1) + 10 AS a,
-         count(*) * covar_pop(x1, x2) AS b, count(*) * var_pop(x2) + 10 AS c,
-         count(*) * covar_pop(x1, y) AS p, count(*) * covar_pop(x2, y) AS q
-  FROM pairs GROUP BY fold),
-w AS (SELECT *, (c * p - b * q) / (a * c - b * b) AS w1, (a * q - b * p) / (a * c - b * b) AS w2 FROM s)
-SELECT id, fold, round(w1 * (x1 - m1) + w2 * (x2 - m2) + my, 6) AS pred FROM folded JOIN w USING (fold)""",
-    "ard_oof": f"""
-WITH RECURSIVE {_FOLDED_SQL}, {_rest_cte('rest', 'folded')}, {_ard_cte('ard', 'rest')}
-SELECT id, fold, round(w * x1 + b, 6) AS pred FROM folded JOIN (SELECT fold, w, b FROM ard) USING (fold)""",
+WITH {_FOLDED_SQL}, {_rest_cte('rest', 'folded')}, {_ridge_cte('ridge', 'rest')}
+SELECT id, fold, round({_SCORE}, 6) AS pred FROM folded JOIN ridge USING (fold)""",
+    "ard_oof": _ARD_SQL,
+    "ard_oof_three": _ARD_SQL,
     "search_ard": f"""
 WITH RECURSIVE {_FOLDED_SQL}, {_rest_cte('folds_rest', 'folded')},
 draws AS (SELECT draw, {_DRAW_SQL} FROM range(0, {DRAWS}) d(draw)),
 rest AS (SELECT * FROM folds_rest, draws), {_ard_cte('ard', 'rest', 'draw, fold', _DRAWN)},
 errors AS (
-  SELECT draw, fold, sqrt(avg((y - w * x1 - b) ** 2)) AS rmse
-  FROM folded JOIN (SELECT draw, fold, w, b FROM ard) USING (fold) GROUP BY draw, fold)
+  SELECT draw, fold, sqrt(avg((y - ({_SCORE})) ** 2)) AS rmse
+  FROM folded JOIN (SELECT draw, fold, w1, w2, w3, b FROM ard) USING (fold) GROUP BY draw, fold)
 SELECT draw, round(avg(rmse), 6) AS rmse FROM errors GROUP BY draw""",
     "svd_leading": """
 WITH RECURSIVE vecs AS (
@@ -274,24 +305,26 @@ SELECT id, round(v.a * s.a + v.b * s.b + v.c * s.c + v.d * s.d, 6) AS svd_0 FROM
 WITH RECURSIVE {DOCREG_SQL},
 known AS (SELECT *, {fold_sql('id', 5, 1000)} AS fold FROM docreg WHERE id IN (SELECT doc_id FROM labels)),
 {_rest_cte('rest', 'known')}, {_ard_cte('ard', 'rest')}, {_ridge_cte('ridge', 'rest')},
-pair AS (SELECT fold, a.w AS wa, a.b AS ba, r.w AS wr, r.b AS br FROM ard a JOIN ridge r USING (fold)),
+scored AS (
+  SELECT d.id, d.fold AS own, m.fold, m.model, {_SCORE} AS pred
+  FROM (SELECT id, x1, x2, x3, fold FROM known UNION ALL
+        SELECT id, x1, x2, x3, NULL FROM docreg WHERE id NOT IN (SELECT doc_id FROM labels)) d,
+       (SELECT fold, 'ard' AS model, w1, w2, w3, b FROM ard UNION ALL SELECT fold, 'ridge', w1, w2, w3, b FROM ridge) m),
 preds AS (
-  SELECT id, wa * x1 + ba AS ard, wr * x1 + br AS ridge FROM known JOIN pair USING (fold)
-  UNION ALL
-  SELECT id, avg(wa * x1 + ba), avg(wr * x1 + br) FROM docreg, pair
-  WHERE id NOT IN (SELECT doc_id FROM labels) GROUP BY id)
+  SELECT id, avg(CASE WHEN model = 'ard' THEN pred END) AS ard, avg(CASE WHEN model = 'ridge' THEN pred END) AS ridge
+  FROM scored WHERE own IS NULL OR own = fold GROUP BY id)
 SELECT id, round(ard, 6) AS ard, round(ridge, 6) AS ridge, round((ard + ridge) / 2, 6) AS blend FROM preds""",
     "pseudo_label": f"""
 WITH {DOCREG_SQL},
 known AS (SELECT *, {fold_sql('id', 5, 1000)} AS fold FROM docreg WHERE id IN (SELECT doc_id FROM labels)),
 {_rest_cte('rest', 'known')}, {_ridge_cte('ridge', 'rest')},
 pair AS (
-  SELECT id, x1, y AS target FROM known WHERE NOT (y = 0 AND x3 = 0)
+  SELECT id, x1, x2, x3, y AS target FROM known WHERE NOT (y = 0 AND x3 = 0)
   UNION ALL
-  SELECT id, x1, avg(w * x1 + b) FROM docreg, ridge
-  WHERE id NOT IN (SELECT doc_id FROM labels) GROUP BY id, x1),
+  SELECT id, x1, x2, x3, avg({_SCORE}) FROM docreg, ridge
+  WHERE id NOT IN (SELECT doc_id FROM labels) GROUP BY id, x1, x2, x3),
 again AS (SELECT *, {fold_sql('id', 5, 1000)} AS fold FROM pair),
 {_rest_cte('rest2', 'again', 'target')}, {_ridge_cte('ridge2', 'rest2')}
-SELECT id, fold, round(target, 6) AS target, round(w * x1 + b, 6) AS pred_target
+SELECT id, fold, round(target, 6) AS target, round({_SCORE}, 6) AS pred_target
 FROM again JOIN ridge2 USING (fold)""",
 }
