@@ -257,6 +257,54 @@ def _ard_cte(name: str, rest: str, keys: str = "fold", priors: dict | None = Non
   SELECT *, {_BIAS} FROM {_posterior(f"(SELECT * FROM {name}_it WHERE TRUE QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY step DESC) = 1)")})"""
 
 
+def _vector_ridge_cte(source: str) -> str:
+    """CTEs of the ridge models on a vector column: weights (fold, i, w, m) and means my (fold, my), by Gauss-Jordan
+    elimination of each fold's normal equations, one column per step. `source` has id, fold, v and y."""
+    last = WIDTH + 1
+    return f"""
+cells AS (
+  SELECT id, fold, unnest(range(1, {last})) AS i, unnest(v)::DOUBLE AS x FROM {source}
+  UNION ALL SELECT id, fold, {last}, y FROM {source}),
+means AS (
+  SELECT f.fold, c.i, avg(c.x) AS m FROM cells c JOIN (SELECT DISTINCT fold FROM {source}) f ON c.fold <> f.fold GROUP BY ALL),
+centred AS (SELECT m.fold, c.id, c.i, c.x - m.m AS x FROM cells c JOIN means m ON c.i = m.i AND c.fold <> m.fold),
+products AS (
+  SELECT a.fold, a.i, b.i AS j, sum(a.x * b.x) + CASE WHEN a.i = b.i THEN 10 ELSE 0 END AS s
+  FROM centred a JOIN centred b ON a.fold = b.fold AND a.id = b.id WHERE a.i < {last} GROUP BY a.fold, a.i, b.i),
+steps AS (
+  SELECT 0 AS k, fold, i, list(s ORDER BY j) AS line FROM products GROUP BY fold, i
+  UNION ALL
+  SELECT t.k + 1, t.fold, t.i, CASE
+      WHEN t.i = p.i THEN [t.line[j] / p.line[p.i] for j in range(1, {last + 1})]
+      ELSE [t.line[j] - t.line[p.i] * p.line[j] / p.line[p.i] for j in range(1, {last + 1})] END
+  FROM steps t JOIN steps p ON p.fold = t.fold AND p.i = t.k + 1 WHERE t.k < {WIDTH}),
+weights AS (SELECT s.fold, s.i, s.line[{last}] AS w, m.m FROM steps s JOIN means m ON m.fold = s.fold AND m.i = s.i WHERE s.k = {WIDTH}),
+mean_y AS (SELECT fold, m AS my FROM means WHERE i = {last})"""
+
+
+def _leading_cte(matrix: str, k: int, squarings: int = 14) -> str:
+    """CTEs v1 .. vk (i, x): the leading eigenvectors of a symmetric matrix (i, j, s), the largest entry positive.
+
+    Squaring a matrix again and again leaves the projection on its leading eigenvector, which is then taken out.
+    """
+    out, current = [], matrix
+    for c in range(1, k + 1):
+        out.append(f"p{c}_0 AS MATERIALIZED (SELECT i, j, s / (SELECT sum(s) FROM {current} WHERE i = j) AS s FROM {current})")
+        for q in range(squarings):
+            out.append(f"""
+p{c}_{q}x AS MATERIALIZED (SELECT a.i, b.j, sum(a.s * b.s) AS s FROM p{c}_{q} a JOIN p{c}_{q} b ON a.j = b.i GROUP BY a.i, b.j),
+p{c}_{q + 1} AS MATERIALIZED (SELECT i, j, s / (SELECT sum(s) FROM p{c}_{q}x WHERE i = j) AS s FROM p{c}_{q}x)""")
+        out.append(f"""
+top{c} AS (SELECT i AS place, s FROM p{c}_{squarings} WHERE i = j ORDER BY s DESC, i LIMIT 1),
+v{c} AS MATERIALIZED (SELECT i, p.s / sqrt(t.s) AS x FROM p{c}_{squarings} p JOIN top{c} t ON p.j = t.place),
+e{c} AS (SELECT sum(a.x * m.s * b.x) AS value FROM {current} m JOIN v{c} a ON m.i = a.i JOIN v{c} b ON m.j = b.i),
+rest{c} AS MATERIALIZED (
+  SELECT m.i, m.j, m.s - (SELECT value FROM e{c}) * a.x * b.x AS s
+  FROM {current} m JOIN v{c} a ON m.i = a.i JOIN v{c} b ON m.j = b.i)""")
+        current = f"rest{c}"
+    return ",".join(out)
+
+
 _FOLDED_SQL = f"{DOCREG_SQL}, folded AS (SELECT *, {fold_sql('id', 5, 1000)} AS fold FROM docreg)"
 
 _DRAW_SQL = ", ".join(
@@ -284,6 +332,34 @@ errors AS (
   SELECT draw, fold, sqrt(avg((y - ({_SCORE})) ** 2)) AS rmse
   FROM folded JOIN (SELECT draw, fold, w1, w2, w3, b FROM ard) USING (fold) GROUP BY draw, fold)
 SELECT draw, round(avg(rmse), 6) AS rmse FROM errors GROUP BY draw""",
+    "ridge_vectors": f"""
+WITH RECURSIVE source AS (
+  SELECT vec_id AS id, embedding AS v, CAST(label AS DOUBLE) AS y, {fold_sql('vec_id', 5, 1000)} AS fold FROM embeddings),
+{_vector_ridge_cte('source')}
+SELECT c.id, c.fold, round(any_value(my) + sum(w * (x - m)), 6) AS pred
+FROM cells c JOIN weights w ON w.fold = c.fold AND w.i = c.i JOIN mean_y b ON b.fold = c.fold GROUP BY c.id, c.fold""",
+    "fit_head": f"""
+WITH RECURSIVE known AS (
+  SELECT vec_id AS id, embedding AS v, CAST(quality AS DOUBLE) AS y
+  FROM embeddings JOIN labels ON vec_id = doc_id WHERE NOT (quality = 0 AND toxic = 0)),
+source AS (SELECT *, {fold_sql('id', 5, 1000)} AS fold FROM known),
+{_vector_ridge_cte('source')},
+unseen AS (
+  SELECT vec_id AS id, unnest(range(1, {WIDTH + 1})) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings
+  WHERE vec_id NOT IN (SELECT doc_id FROM labels)),
+scored AS (
+  SELECT c.id, c.fold, any_value(my) + sum(w * (x - m)) AS pred
+  FROM cells c JOIN weights w ON w.fold = c.fold AND w.i = c.i JOIN mean_y b ON b.fold = c.fold GROUP BY c.id, c.fold
+  UNION ALL
+  SELECT u.id, w.fold, any_value(my) + sum(w * (x - m))
+  FROM unseen u JOIN weights w ON w.i = u.i JOIN mean_y b ON b.fold = w.fold GROUP BY u.id, w.fold)
+SELECT id, round(avg(pred), 6) AS target FROM scored GROUP BY id""",
+    "svd_project": f"""
+WITH cells AS (SELECT vec_id AS id, unnest(range(1, {WIDTH + 1})) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+matrix AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.x * b.x) AS s FROM cells a JOIN cells b ON a.id = b.id GROUP BY a.i, b.i),
+{_leading_cte('matrix', 3)}
+SELECT c.id, round(sum(c.x * a.x), 6) AS svd_0, round(sum(c.x * b.x), 6) AS svd_1, round(sum(c.x * d.x), 6) AS svd_2
+FROM cells c JOIN v1 a ON a.i = c.i JOIN v2 b ON b.i = c.i JOIN v3 d ON d.i = c.i GROUP BY c.id""",
     "svd_leading": """
 WITH RECURSIVE vecs AS (
   SELECT l_orderkey AS id, sum(l_quantity) AS a, sum(l_discount) AS b, sum(l_tax) AS c,

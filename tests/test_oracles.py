@@ -5,8 +5,6 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tools.compare import database, sorted_rows
 
-# Growing forests takes minutes; test_trees and test_stack cover them on fewer rows.
-SLOW = {"trees_oof", "run_stack", "run_stack_scores"}
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +20,7 @@ def test_same_rows_as_sql(spark, duck, sf, name):
     assert sorted_rows(got) == sorted_rows(want)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in oracle_sql() and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in queries() if n not in oracle_sql()])
 def test_without_sql_gives_rows(spark, sf, name):
     assert queries()[name](spark, sf).count() > 0
 
