@@ -33,7 +33,9 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of `df`, written once to the shared folder: later plans and lost tasks start from the files."""
     with _shuffles_dropped(df.sparkSession):
-        return materialise(df, name)
+        kept = materialise(df, name)
+    release()  # what a fit on the driver has left behind
+    return kept
 
 
 @cache
@@ -71,16 +73,21 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release() -> None:
+    """Give freed memory back to the machine; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def tidied(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """`work` on a partition; what it has freed goes back to the machine at its end, since Spark keeps Python
     workers for the next stages, which may be other work."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
-        if trim is not None:
-            trim(0)
+        release()
 
     return run
 
