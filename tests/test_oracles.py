@@ -6,7 +6,6 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tools.compare import database, sorted_rows
 
 
-
 @pytest.fixture(scope="module")
 def duck(sf):
     return database(sf)
