@@ -39,6 +39,37 @@ def test_links_across_the_members_of_a_bucket_are_found(spark):
     assert dict(map(tuple, near_duplicates(docs).collect())) == near_classes(rows)
 
 
+def test_links_far_from_the_centre_of_a_bucket_are_found(spark):
+    """Texts around one template, too far from it and from each other, some of which have near copies; and texts
+    of the same passages in other orders, with near copies."""
+    rng = random.Random(2)
+    base = prose(rng, 240).split()
+
+    def edited(words, places):
+        words = words.copy()
+        for p in rng.sample(range(len(words)), places):
+            words[p] = f"w{rng.randrange(10**9)}"
+        return words
+
+    texts = [base]
+    for _ in range(40):
+        far = edited(base, rng.choice([8, 10, 14]))
+        texts += [far, edited(far, 2)] if rng.random() < 0.4 else [far]
+    parts = [base[i : i + 40] for i in range(0, 240, 40)]
+    for _ in range(8):
+        rng.shuffle(parts)
+        turned = [w for part in parts for w in part]
+        texts += [turned, edited(turned, 2), edited(turned, 1)]
+    second = edited(base, 30)
+    texts += [edited(second, rng.choice([1, 8])) for _ in range(30)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = near_classes(rows)
+    assert len(set(want.values())) > 40 and max(map(list(want.values()).count, set(want.values()))) > 5
+    assert dict(map(tuple, near_duplicates(docs).collect())) == want
+
+
 def test_one_document_of_each_class_stays(odd_docs):
     kept = keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
