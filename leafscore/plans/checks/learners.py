@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from leafscore.operators import folds, linear, svd, trees
+from leafscore.operators import folds, linear, networks, svd, trees, wide
 from leafscore.operators.moments import fold_moments
 from leafscore.plans import heads, pseudo, stacking
 from leafscore.plans.checks.stand_ins import (
@@ -51,6 +51,16 @@ def ridge_vectors(spark, sf):
     return _shown(linear.score_vector_oof(rows, "embedding", models))
 
 
+def ridge_wide(spark, sf):
+    """The same by conjugate gradients, as for vectors too wide for a matrix of their width squared."""
+    rows = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), "embedding", F.col("label").cast("double").alias("y")
+    )
+    rows = folds.kfold(rows, "id", 5, 1000)
+    models = wide.fit_wide_folds(rows, "embedding", WIDTH, "y")
+    return _shown(linear.score_vector_oof(rows, "embedding", models))
+
+
 def fit_head(spark, sf):
     """A head on the embeddings of labelled documents: out of fold there, fold mean elsewhere."""
     vecs = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
@@ -82,6 +92,13 @@ def svd_project(spark, sf):
     return coords.select("id", *[F.round(f"svd_{i}", 6).alias(f"svd_{i}") for i in range(len(basis))])
 
 
+def svd_wide(spark, sf):
+    """The same coordinates from products of X'X with a few vectors."""
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    coords = svd.svd_project(rows, "v", wide.svd_fit_wide(rows, "v", WIDTH))
+    return coords.select("id", *[F.round(f"svd_{i}", 6).alias(f"svd_{i}") for i in range(3)])
+
+
 def svd_leading(spark, sf):
     """The first coordinate of the orders' short vectors."""
     vecs = materialise(_order_vectors(spark, sf), "vecs")
@@ -93,6 +110,10 @@ def trees_oof(spark, sf):
     return _shown(trees.trees_oof(_folded(spark, sf), FEATURES, "y", 5))
 
 
+def networks_oof(spark, sf):
+    return _shown(networks.networks_oof(_folded(spark, sf), FEATURES, "y"))
+
+
 def _labelled_parts(spark, sf):
     docs = materialise(docreg(spark, sf), "docreg")
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
@@ -164,13 +185,16 @@ def run_stack_linear(spark, sf):
 QUERIES = {
     "ridge_oof": ridge_oof,
     "ridge_vectors": ridge_vectors,
+    "ridge_wide": ridge_wide,
     "fit_head": fit_head,
     "ard_oof": ard_oof,
     "ard_oof_three": ard_oof,
     "search_ard": search_ard,
     "svd_project": svd_project,
+    "svd_wide": svd_wide,
     "svd_leading": svd_leading,
     "trees_oof": trees_oof,
+    "networks_oof": networks_oof,
     "stack": stack,
     "pseudo_label": pseudo_label,
     "run_stack": run_stack,
@@ -404,3 +428,5 @@ again AS (SELECT *, {fold_sql('id', 5, 1000)} AS fold FROM pair),
 SELECT id, fold, round(target, 6) AS target, round({_SCORE}, 6) AS pred_target
 FROM again JOIN ridge2 USING (fold)""",
 }
+ORACLES["ridge_wide"] = ORACLES["ridge_vectors"]
+ORACLES["svd_wide"] = ORACLES["svd_project"]
