@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from leafscore.operators import align
 from leafscore.operators.encode import build_vocab, read_blocks
 from leafscore.session import fresh_path, materialise, shared_folder
 from leafscore.sources import models as mod
@@ -92,3 +93,24 @@ def test_materialised_table_starts_a_new_plan(spark):
     assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
     assert shared_folder(spark) == shared_folder(spark)
 
+
+
+def test_tables_saved_by_key_are_joined_without_a_shuffle(spark):
+    keys = spark.range(200).withColumn("id", F.col("id").cast("int"))
+    parts = [keys, *[keys.filter(F.col("id") % k != 0).withColumn(f"v{k}", F.array(F.col("id") * 1.5)) for k in (2, 3)]]
+    paths = [fresh_path(spark, "keyed") for _ in parts]
+    names = [path.rsplit("/", 1)[1].replace("-", "_") for path in paths]
+    saved = [tables.write_keyed(part, name, path, 4) for part, name, path in zip(parts, names, paths)]
+    want = align.assemble(*parts).toPandas().sort_values("id").astype(str).values.tolist()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found in (saved, [f"again_{n}" for n in names]):
+            if isinstance(found[0], str):
+                schemas = [part.schema.simpleString()[7:-1].replace(":", " ") for part in parts]
+                found = [tables.read_keyed(spark, n, p, s, 4) for n, p, s in zip(found, paths, schemas)]
+            joined = align.assemble(*found)
+            assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+            assert joined.toPandas().sort_values("id").astype(str).values.tolist() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
