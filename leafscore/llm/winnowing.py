@@ -12,12 +12,14 @@ window does not have. Items with fewer words than a window are one window of the
 `WINDOW` - 1) are looked for in the same way with every run of that length as a fingerprint.
 
 The benchmark's fingerprints are written first, so Spark knows their size and chooses between sending them
-to the tasks and a shuffle of the documents' fingerprints.
+to the tasks and a shuffle of the documents' fingerprints. The report also writes the documents' own, with the
+number of words, so that no text is cut up again to count them.
 """
 
 from __future__ import annotations
 
 import string
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +39,9 @@ def split_words(text: Column) -> Column:
 
 
 def folded(text: Column) -> Column:
-    """A-Z in lower case, everything else as it is."""
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z in lower case, everything else as it is. In a text of ASCII alone these are all capitals, which is faster."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def _bound(value: Column, body) -> Column:
@@ -94,30 +97,51 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return single.groupBy("length", "words").agg(F.collect_set("item_id").alias("items"))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows (doc_id, __row, at, length, items): every place of a document where a window of items stands."""
+@dataclass(frozen=True)
+class Sought:
+    """What is looked for: the items' windows, their lengths (at most `WINDOW` numbers) and their fingerprints."""
+
+    windows: DataFrame
+    lengths: list[int]
+    marks: DataFrame
+
+
+def sought(benchmark: DataFrame) -> Sought:
     wanted = written(item_windows(benchmark), "items")
-    lengths = sorted(r["length"] for r in wanted.select("length").distinct().collect())  # at most WINDOW numbers
-    if not lengths:
-        lengths = [WINDOW]
-    short = [n for n in lengths if n < WINDOW]
+    lengths = sorted(r["length"] for r in wanted.select("length").distinct().collect()) or [WINDOW]
     item_words = F.split("words", " ")
-    known = written(wanted.select(F.explode(fingerprints(item_words, short)).alias("mark")).distinct(), "marks")
+    known = written(wanted.select(F.explode(fingerprints(item_words, _short(lengths))).alias("mark")).distinct(), "marks")
+    return Sought(wanted, lengths, known)
+
+
+def _short(lengths: list[int]) -> list[int]:
+    return [n for n in lengths if n < WINDOW]
+
+
+def marked(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """Rows (doc_id, __row, of): `of` holds the number of words, `n`, and the fingerprints, `marks`; a text is cut up once."""
+    both = lambda w: F.struct(F.size(w).cast("long").alias("n"), fingerprints(w, _short(lengths)).alias("marks"))
+    return docs.select("doc_id", _key(F.col("text")), _bound(split_words(folded(F.col("text"))), both).alias("of"))
+
 
+def hits(docs: DataFrame, marks: DataFrame, items: Sought) -> DataFrame:
+    """Rows (doc_id, __row, at, length, items): every place of a document where a window of items stands. `marks` are
+    those of `docs`."""
+    single = marks.select("doc_id", "__row", F.explode("of.marks").alias("mark"))
+    suspects = written(single.join(items.marks, "mark", "left_semi").select("doc_id", "__row").distinct(), "suspects")
     rows = docs.select("doc_id", "text", _key(F.col("text")))
-    marks = rows.select("doc_id", "__row", F.explode(fingerprints(split_words(folded(F.col("text"))), short)).alias("mark"))
-    suspects = written(marks.join(known, "mark", "left_semi").select("doc_id", "__row").distinct(), "suspects")
     same = rows["doc_id"].eqNullSafe(suspects["doc_id"]) & (rows["__row"] == suspects["__row"])
     suspected = rows.join(suspects, same, "left_semi")
-    found = suspected.select("doc_id", "__row", F.inline(windows(split_words(folded(F.col("text"))), lengths)))
-    return found.join(wanted, ["length", "words"]).select("doc_id", "__row", "at", "length", "items")
+    found = suspected.select("doc_id", "__row", F.inline(windows(split_words(folded(F.col("text"))), items.lengths)))
+    return found.join(items.windows, ["length", "words"]).select("doc_id", "__row", "at", "length", "items")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, marks: DataFrame, items: Sought) -> DataFrame:
     """Rows (doc_id, __row, n_hit, items): documents with at least one hit; `items` distinct."""
     covered = F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("length") - 1))))
-    items = F.array_distinct(F.flatten(F.collect_set("items")))
-    return hits(docs, benchmark).groupBy("doc_id", "__row").agg(F.size(covered).cast("long").alias("n_hit"), items.alias("items"))
+    found = F.array_distinct(F.flatten(F.collect_set("items")))
+    places = hits(docs, marks, items).groupBy("doc_id", "__row")
+    return places.agg(F.size(covered).cast("long").alias("n_hit"), found.alias("items"))
 
 
 def winnowing_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -127,9 +151,10 @@ def winnowing_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     several texts counts once. Rows with equal doc_id are judged each by its own text. Further columns are
     ignored; empty tables give no rows, or rows without hits.
     """
-    found = written(contamination(docs, benchmark), "hits").withColumnRenamed("doc_id", "__doc")
-    count = F.coalesce(F.regexp_count(F.col("text"), F.lit(_WORD)), F.lit(0)).cast("long")
-    rows = docs.select("doc_id", _key(F.col("text")), count.alias("n_words"))
+    items = sought(benchmark)
+    marks = written(marked(docs, items.lengths), "marked")
+    found = written(contamination(docs, marks, items), "hits").withColumnRenamed("doc_id", "__doc")
+    rows = marks.select("doc_id", "__row", F.col("of.n").alias("n_words"))
     same = rows["doc_id"].eqNullSafe(found["__doc"]) & (rows["__row"] == found["__row"])
     listed = F.concat_ws(",", F.array_sort(F.transform(F.coalesce("items", F.array().cast("array<bigint>")), lambda i: i.cast("string"))))
     return rows.join(found, same, "left").select(
@@ -144,7 +169,8 @@ def winnowing_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no window of a benchmark item."""
-    found = written(contamination(docs, benchmark), "hits").select(F.col("doc_id").alias("__doc"), F.col("__row").alias("__hit"))
+    items = sought(benchmark)
+    found = written(contamination(docs, marked(docs, items.lengths), items), "hits").select(F.col("doc_id").alias("__doc"), F.col("__row").alias("__hit"))
     same = docs["doc_id"].eqNullSafe(found["__doc"]) & (F.xxhash64(docs["text"]) == found["__hit"])
     return docs.join(found, same, "left_anti")
 

@@ -102,6 +102,12 @@ def test_winnowing_runs_no_python_and_explodes_no_words(spark, sf):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_winnowing_report_cuts_a_text_up_once(spark, sf):
+    """Its rows come from written fingerprints and word counts; no text is read or searched again for the count."""
+    plan = QUERIES["op4_winnowing"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan and "regexp_count" not in plan
+
+
 def test_licenses_in_odd_places(spark, odd_docs, odd_rows, no_docs):
     rows = [
         (1, "x y z. LICENSED under the\nApache License, version 2.0! more"),
