@@ -317,3 +317,17 @@ def test_head_on_vectors_equals_numpy(spark):
     filled = done.submission.toPandas().sort_values("id")
     assert np.allclose(filled["target"], pdf.loc[pdf["id"] >= 100, XS].to_numpy() @ coef + bias)
     assert done.scores.count() == 5
+
+
+def test_trees_of_some_hundred_thousand_rows_are_grown_without_a_shuffle(spark, monkeypatch):
+    """Rows of eight numbers each, a few more than four million numbers in all: every task gets them."""
+    monkeypatch.delattr(trees, "_level_stats")
+    monkeypatch.delattr(trees, "_hand_over")
+    names = [f"x{i}" for i in range(6)]
+    rows = spark.range(560_000).select(
+        *[F.rand(i).alias(name) for i, name in enumerate(names)],
+        (F.col("id") % 2).cast("int").alias("fold"),
+        F.rand(9).alias("y"),
+    )
+    grown = trees.fit_trees(rows, names, "y", 2, trees=1, depth=1, own_range=True)
+    assert (grown.feature[:, 0] >= 0).all()
